@@ -38,9 +38,10 @@ def isin_false(c: Column | str, values: Iterable) -> Column:
 def parse_local_ts(text: Column | str, ampm: str = "parse") -> Column:
     """Report clock text -> TIMESTAMP_NTZ wall clock; bad text -> NULL.
 
-    ``to_timestamp_ntz`` reads the wall clock without any zone, so the result
-    does not depend on the session time zone; the ``try_`` guard turns text
-    that does not parse into NULL instead of failing the task.
+    The text is parsed once with an explicit "+00:00" offset, so the instant
+    is the wall clock read as UTC whatever the session zone is (no DST gap
+    can move it), then re-based onto the NTZ epoch. ``try_`` semantics: text
+    that does not parse gives NULL instead of failing the task.
     ``ampm="ignore"`` keeps only "date clock" and parses it as a 12-hour
     clock without the marker (12:30 PM becomes 00:30).
     """
@@ -51,20 +52,26 @@ def parse_local_ts(text: Column | str, ampm: str = "parse") -> Column:
         fmt = C.OBS_TIME_FORMAT_NO_AMPM
     elif ampm != "parse":
         raise ValueError(f"ampm must be 'parse' or 'ignore', not {ampm!r}")
-    ok = F.try_to_timestamp(t, F.lit(fmt)).isNotNull()
-    return F.when(ok, F.to_timestamp_ntz(t, F.lit(fmt)))
+    instant = F.try_to_timestamp(F.concat(t, F.lit(" +00:00")), F.lit(fmt + " XXX"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _ntz_epoch())
 
 
 def parse_mdy(text: Column | str) -> Column:
-    """Month-day-year date in any of the report spellings; bad -> NULL."""
+    """Month-day-year date in either report spelling ("3/5/2001" or
+    "03052001"); bad -> NULL. The spelling is picked from the text so each
+    value is parsed once (a failed parse attempt costs an exception)."""
     t = col(text)
-    return F.coalesce(*[F.try_to_date(t, f) for f in C.RELEASE_DATE_FORMATS])
+    slash, plain = C.RELEASE_DATE_FORMATS
+    return F.when(F.instr(t, "/") > 0, F.try_to_date(t, slash)).otherwise(F.try_to_date(t, plain))
+
+
+def _ntz_epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def ntz_micros(ts: Column | str) -> Column:
     """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ."""
-    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    return F.timestamp_diff("MICROSECOND", epoch, col(ts))
+    return F.timestamp_diff("MICROSECOND", _ntz_epoch(), col(ts))
 
 
 def local_to_utc(ts: Column | str, zone: str = C.LOCAL_ZONE) -> Column:
@@ -107,23 +114,32 @@ def current_spawn_year(species: Column | str, cfg: C.RunConfig) -> Column:
 
 
 def reclassify_lifestage(stage: Column | str, length_mm: Column | str, species: Column | str) -> Column:
-    """Completed-feed life stage, first matching rule wins."""
+    """Completed-feed life stage, first matching rule wins:
+    NULL & <=300 mm -> Juvenile; NULL & >300 mm -> Adult; Adult & <=300 mm
+    -> Juvenile; NULL & no length -> Juvenile; other species keep theirs.
+
+    Species membership is tested once (every rule requires it), which keeps
+    the generated code small when the inputs are themselves expressions.
+    """
     st, ln = col(stage), col(length_mm)
-    reclass = isin_false(species, C.RECLASSIFY_SPECIES)
     small = ln <= C.JUVENILE_MAX_LENGTH_MM
-    large = ln > C.JUVENILE_MAX_LENGTH_MM
-    return (
-        F.when(st.isNull() & small & reclass, F.lit("Juvenile"))
-        .when(st.isNull() & large & reclass, F.lit("Adult"))
-        .when((st == "Adult") & small & reclass, F.lit("Juvenile"))
-        .when(st.isNull() & ln.isNull() & reclass, F.lit("Juvenile"))
+    rules = (
+        F.when(st.isNull() & small, F.lit("Juvenile"))
+        .when(st.isNull() & (ln > C.JUVENILE_MAX_LENGTH_MM), F.lit("Adult"))
+        .when((st == "Adult") & small, F.lit("Juvenile"))
+        .when(st.isNull() & ln.isNull(), F.lit("Juvenile"))
         .otherwise(st)
     )
+    return F.when(isin_false(species, C.RECLASSIFY_SPECIES), rules).otherwise(st)
 
 
 def not_same_year_juvenile(yrs_at_large: Column | str, stage: Column | str) -> Column:
-    """Keep-predicate: NOT (at large 0 years AND juvenile), three-valued."""
-    return ~((col(yrs_at_large) == 0) & (col(stage) == "Juvenile"))
+    """Keep-predicate: NOT (at large 0 years AND juvenile), three-valued.
+
+    The cheap stage test goes first so the years test (two parsed dates) is
+    only evaluated for juvenile rows; AND is commutative in three-valued
+    logic, so the result is unchanged."""
+    return ~((col(stage) == "Juvenile") & (col(yrs_at_large) == 0))
 
 
 # --------------------------------------------------------- dummy calendar

@@ -47,6 +47,28 @@ def _descending(c: Column, dtype: T.DataType) -> Column:
     raise TypeError(f"cannot order descending on {dtype.simpleString()}")
 
 
+def _flat(df: DataFrame, c: Column | str) -> list[Column]:
+    """A struct ordinal as its leaf fields (flat keys compare faster)."""
+    if isinstance(c, str):
+        dtype = df.schema[c].dataType
+        if isinstance(dtype, T.StructType):
+            out = []
+            for f in dtype.fields:
+                out += _flat_field(f"{c}.{f.name}", f.dataType)
+            return out
+        return [F.col(c)]
+    return [c]
+
+
+def _flat_field(path: str, dtype: T.DataType) -> list[Column]:
+    if isinstance(dtype, T.StructType):
+        out = []
+        for f in dtype.fields:
+            out += _flat_field(f"{path}.{f.name}", f.dataType)
+        return out
+    return [F.col(path)]
+
+
 def top1_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -58,17 +80,14 @@ def top1_by_key(
     """One row per key: the row with the max (or min) ``order_col``; ties go
     to the smallest ordinal; keys whose ``order_col`` is all NULL give no row.
 
-    Runs as one hash aggregate (partial + final) over a struct payload.
+    Runs as one aggregate (partial + final): every payload column is a
+    ``min_by`` over the same flat sort key ``(order, ordinal...)``. The
+    ordinal is unique per row, so all columns come from the same row.
     """
     keys = list(keys)
     payload = [c for c in (payload or df.columns) if c not in keys]
     dtype = df.schema[order_col].dataType
     o = F.col(order_col)
-    sort_key = F.struct(_descending(o, dtype) if descending else o, col(ordinal))
-    picked = F.min_by(F.struct(*[F.col(c) for c in payload]), sort_key).alias("_top")
-    return (
-        df.filter(o.isNotNull())
-        .groupBy(*keys)
-        .agg(picked)
-        .select(*keys, *[F.col(f"_top.{c}").alias(c) for c in payload])
-    )
+    sort_key = F.struct(_descending(o, dtype) if descending else o, *_flat(df, ordinal))
+    picked = [F.min_by(F.col(c), sort_key).alias(c) for c in payload]
+    return df.filter(o.isNotNull()).groupBy(*keys).agg(*picked)

@@ -93,6 +93,12 @@ class RunTables:
 
     @cached_property
     def completed_individuals(self) -> DataFrame:
+        return completed.individuals_completed_single_pass(
+            self.completed_detections, self.completed_downstream_latest_time, self.cfg
+        )
+
+    @cached_property
+    def completed_individuals_literal(self) -> DataFrame:
         return completed.individuals_completed(self.completed_population, self.cfg)
 
     @cached_property
