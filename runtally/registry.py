@@ -321,3 +321,227 @@ def q_current_year_key(spark, sf):
     seen = t.detections.select("species").distinct()
     key = dashboard.current_year_key(spark, CFG)
     return seen.join(F.broadcast(key), "species", "inner")
+
+
+# --------------------------------------------------- generic operators
+# Each isolates one operator of the inventory on data derived from the
+# driver tables. Operators already isolated by a domain query above are not
+# repeated: J4 EXISTS-in-OR = population_live, SET2 = all_years, J2 =
+# migratory_juveniles_*, FLT9 = flow_window, TOP1 = latest_discharge,
+# FLT3 = drop_same_year_juveniles, W6 = current_year_detections.
+
+@register(
+    "latest_by_key",
+    """SELECT pit_id, observation_datetime, observation_sitecode, ordinal FROM (
+         SELECT *, row_number() OVER (PARTITION BY pit_id ORDER BY observation_datetime DESC, ordinal) AS rn
+         FROM det WHERE observation_datetime IS NOT NULL) WHERE rn = 1""",
+)
+def q_latest_by_key(spark, sf):
+    det = tables(spark, sf).detections
+    return ordered.top1_by_key(det, ["pit_id"], "observation_datetime", "ordinal",
+                               ["observation_datetime", "observation_sitecode", "ordinal"])
+
+
+@register(
+    "first_by_key",
+    """SELECT pit_id, arg_min_null(observation_sitecode, ordinal) AS first_site,
+              arg_min_null(length_mm, ordinal) AS first_length_mm
+       FROM det GROUP BY pit_id""",
+)
+def q_first_by_key(spark, sf):
+    det = tables(spark, sf).detections
+    return det.groupBy("pit_id").agg(
+        ordered.first_by("observation_sitecode", "ordinal").alias("first_site"),
+        ordered.first_by("length_mm", "ordinal").alias("first_length_mm"),
+    )
+
+
+@register(
+    "filtered_last",
+    f"""SELECT pit_id, arg_max_null(observation_datetime, ordinal) FILTER (WHERE observation_sitecode IN {O.FINAL})
+              AS last_final_time
+       FROM det GROUP BY pit_id""",
+)
+def q_filtered_last(spark, sf):
+    det = tables(spark, sf).detections
+    final = X.isin_false("observation_sitecode", CFG.final_sites)
+    return det.groupBy("pit_id").agg(
+        ordered.last_by_where("observation_datetime", "ordinal", final).alias("last_final_time")
+    )
+
+
+@register(
+    "running_total",
+    """SELECT species, spawn_year, sfc_final_date, n,
+              CAST(sum(n) OVER (PARTITION BY species ORDER BY sfc_final_date, spawn_year
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_n
+       FROM daily_completed""",
+)
+def q_running_total(spark, sf):
+    d = tables(spark, sf).daily_completed.select("species", "spawn_year", "sfc_final_date", "n")
+    return running.running_total(d, ["species"], ["sfc_final_date", "spawn_year"], "n", "running_n")
+
+
+@register(
+    "share_of_total",
+    """SELECT species, spawn_year, sfc_final_date, n,
+              CAST(sum(n) OVER (PARTITION BY species) AS BIGINT) AS species_total,
+              CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY species) AS DOUBLE) AS species_share
+       FROM daily_completed""",
+)
+def q_share_of_total(spark, sf):
+    d = tables(spark, sf).daily_completed.select("species", "spawn_year", "sfc_final_date", "n")
+    d = running.group_total(d, ["species"], "n", "species_total")
+    return running.share_of_total(d, "n", "species_total", "species_share")
+
+
+_GRID_ENTRY_SQL = """
+  SELECT coalesce(g.species, d.species) AS species, coalesce(g.spawn_year, d.spawn_year) AS spawn_year,
+         coalesce(g.sfc_final_date, d.sfc_final_date) AS sfc_final_date, coalesce(d.n, 0) AS n,
+         d.cumulative_total
+  FROM (SELECT species, spawn_year,
+               CAST(unnest(generate_series(CAST(min(sfc_final_date) AS TIMESTAMP), CAST(max(sfc_final_date) AS TIMESTAMP),
+                    INTERVAL 1 DAY)) AS DATE) AS sfc_final_date
+        FROM daily_completed GROUP BY species, spawn_year) g
+  FULL OUTER JOIN daily_completed d
+    ON g.species = d.species AND g.spawn_year = d.spawn_year AND g.sfc_final_date = d.sfc_final_date"""
+
+
+def _entry_grid(spark, sf) -> DataFrame:
+    d = tables(spark, sf).daily_completed.select("species", "spawn_year", "sfc_final_date", "n", "cumulative_total")
+    out = densify.complete_dates(d, ["species", "spawn_year"], "sfc_final_date",
+                                 F.min("sfc_final_date"), F.max("sfc_final_date"))
+    return densify.zero_fill(out, ["n"])
+
+
+@register("complete_dates", f"SELECT species, spawn_year, sfc_final_date, n FROM ({_GRID_ENTRY_SQL})")
+def q_complete_dates(spark, sf):
+    return _entry_grid(spark, sf).select("species", "spawn_year", "sfc_final_date", "n")
+
+
+@register(
+    "fill_down",
+    f"""SELECT species, spawn_year, sfc_final_date, n,
+               last_value(cumulative_total IGNORE NULLS) OVER (PARTITION BY species, spawn_year ORDER BY sfc_final_date
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_total
+        FROM ({_GRID_ENTRY_SQL})""",
+)
+def q_fill_down(spark, sf):
+    return running.fill_down(_entry_grid(spark, sf), ["species", "spawn_year"], ["sfc_final_date"], ["cumulative_total"])
+
+
+@register("left_join_key", f"SELECT {DET_COLS}, {O._cur_sy()} AS current_sy FROM det")
+def q_left_join_key(spark, sf):
+    det = tables(spark, sf).detections
+    key = dashboard.current_year_key(spark, CFG).select("species", "current_sy")
+    # the key has one row per configured species: a proven size bound
+    key = relational.broadcast_bounded(key, len(CFG.species), CFG.broadcast_max_rows)
+    return det.join(key, "species", "left")
+
+
+@register(
+    "fixed_width_bins",
+    """SELECT species, floor(length_mm / 25.0) * 25.0 AS length_bin, count(*) AS n
+       FROM individuals_completed WHERE length_mm IS NOT NULL GROUP BY ALL""",
+)
+def q_fixed_width_bins(spark, sf):
+    ind = tables(spark, sf).completed_individuals.filter(F.col("length_mm").isNotNull())
+    return ind.groupBy("species", X.fixed_width_bin("length_mm", 25.0).alias("length_bin")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@register(
+    "median_min_max",
+    f"""SELECT species, {O._median('sfc_diff')} AS median_diff, min(sfc_diff) AS min_diff, max(sfc_diff) AS max_diff
+        FROM individuals_completed GROUP BY species""",
+)
+def q_median_min_max(spark, sf):
+    ind = tables(spark, sf).completed_individuals
+    return ind.groupBy("species").agg(*relational.median_min_max(
+        ind, ["species"], "sfc_diff", {"median": "median_diff", "min": "min_diff", "max": "max_diff"}))
+
+
+@register(
+    "half_even_percent",
+    """SELECT species, spawn_year, sfc_final_date, CAST(round_even(daily_prop * 100.0, 0) AS DOUBLE) AS daily_percent
+       FROM daily_completed""",
+)
+def q_half_even(spark, sf):
+    d = tables(spark, sf).daily_completed
+    return d.select("species", "spawn_year", "sfc_final_date", X.half_even_percent("daily_prop").alias("daily_percent"))
+
+
+@register(
+    "site_token",
+    f"""SELECT site, observation_sitecode, count(*) AS n FROM (
+          SELECT {O._case('substr(o_orderpriority, 1, 1)', fixtures.PRIORITY_SITE, fixtures.OTHER_SITE)} AS site,
+                 {O._case('substr(o_orderpriority, 1, 1)', O._token_map(fixtures.PRIORITY_SITE), fixtures.OTHER_SITE.split(' ')[0])}
+                   AS observation_sitecode
+          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderdate < {O.AS_OF_NEXT})
+        GROUP BY ALL""",
+)
+def q_site_token(spark, sf):
+    raw = tables(spark, sf).live_raw
+    return raw.groupBy("site", X.site_token("site").alias("observation_sitecode")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "days_between",
+    f"""SELECT pit_id, {O._elapsed('arg_max_null(observation_datetime, ordinal)', 'arg_min_null(observation_datetime, ordinal)')}
+               AS days_at_array
+        FROM det GROUP BY pit_id""",
+)
+def q_days_between(spark, sf):
+    det = tables(spark, sf).detections
+    g = det.groupBy("pit_id").agg(
+        ordered.first_by("observation_datetime", "ordinal").alias("_a"),
+        F.max_by("observation_datetime", "ordinal").alias("_b"),
+    )
+    return g.select("pit_id", X.elapsed_days("_b", "_a").alias("days_at_array"))
+
+
+@register(
+    "pivot_daily_values",
+    """SELECT CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS mean_temp, max(l_extendedprice) AS mean_discharge
+       FROM lineitem GROUP BY CAST(l_shipdate AS DATE)""",
+)
+def q_pivot(spark, sf):
+    long = fixtures.river_daily_long(spark, sf)
+    return relational.pivot_values(long, "date", "parameter_cd", "value",
+                                   {C.PARAM_TEMPERATURE: "mean_temp", C.PARAM_DISCHARGE: "mean_discharge"})
+
+
+@register(
+    "parse_local_timestamp",
+    """SELECT ordinal, strftime(observation_datetime, '%m/%d/%Y %I:%M:%S %p') AS obs_time, observation_datetime
+       FROM det""",
+)
+def q_parse_ts(spark, sf):
+    raw = tables(spark, sf).live_raw
+    return raw.select("ordinal", "obs_time", X.parse_local_ts("obs_time").alias("observation_datetime"))
+
+
+@register(
+    "entry_date_host_zone",
+    """SELECT pit_id, CAST(timezone('UTC', timezone('America/Los_Angeles', sfc_entry_final)) AS DATE) AS entry_date_utc,
+              CAST(sfc_entry_final AS DATE) AS entry_date_local
+       FROM individuals_live""",
+)
+def q_entry_zone(spark, sf):
+    ind = tables(spark, sf).individuals
+    return ind.select("pit_id", X.entry_date("sfc_entry_final", "UTC").alias("entry_date_utc"),
+                      X.entry_date("sfc_entry_final").alias("entry_date_local"))
+
+
+@register(
+    "downstream_ampm_ignored",
+    # A 12-hour clock read without its marker keeps hour % 12 (PM loses 12 h,
+    # 12 o'clock becomes 0), as strptime's %I without %p does.
+    """SELECT pit_id, max(ds_datetime - to_hours(CAST(hour(ds_datetime) - hour(ds_datetime) % 12 AS INTEGER)))
+              AS latest_downstream
+       FROM ds GROUP BY pit_id""",
+)
+def q_ds_ampm(spark, sf):
+    ds = canonical.downstream_detections(tables(spark, sf).live_downstream_raw, ampm="ignore")
+    return canonical.latest_downstream_time(ds)
