@@ -67,3 +67,18 @@ def pivot_values(long: DataFrame, key: str, name_col: str, value_col: str, names
     """
     wide = long.groupBy(key).pivot(name_col, list(names)).agg(F.max(value_col))
     return wide.select(key, *[F.col(f"`{k}`").alias(v) for k, v in names.items()])
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an input that arrives in fewer splits than the cluster
+    can run at once (e.g. one large single-row-group file), so the per-row
+    work after the scan (parsing, derivations) uses every core.
+
+    Decided at plan time from the scan's split count: a large input already
+    has thousands of splits and is left untouched (no extra shuffle). Row
+    order must already be captured in a column (the report ordinal).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

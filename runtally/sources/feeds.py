@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runtally.operators.relational import spread_if_narrow
+
 # Raw column names used by the canonicalisation step.
 RAW_COLUMNS = (
     "tag", "species_name", "rear_type", "run_name", "site", "release_site",
@@ -105,7 +107,8 @@ def read_report(
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    # the ordinal is fixed above, so spreading a narrow read keeps report order
+    return spread_if_narrow(out)
 
 
 def standardise(raw: DataFrame) -> DataFrame:

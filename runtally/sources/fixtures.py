@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from runtally import config as C
 from runtally.functions.columns import case_map
+from runtally.operators.relational import spread_if_narrow
 
 # Fixed fixture mappings (see FIXTURES.md section 4).
 SEGMENT_SPECIES = {
@@ -61,9 +62,9 @@ def detection_feed(spark: SparkSession, sf_dir: str, cfg: C.RunConfig, completed
     ``completed=True`` gives the completed-years report spelling: release
     date as ``MMddyyyy`` and a run name column.
     """
-    o = table(spark, sf_dir, "orders").filter(
+    o = spread_if_narrow(table(spark, sf_dir, "orders").filter(
         F.col("o_orderdate") < F.lit(cfg.as_of + dt.timedelta(days=1)).cast("timestamp_ntz")
-    )
+    ))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     d = o.join(c, o.o_custkey == c.c_custkey, "inner")
     key = F.col("o_orderkey")
@@ -88,9 +89,9 @@ def detection_feed(spark: SparkSession, sf_dir: str, cfg: C.RunConfig, completed
 
 def downstream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw downstream-detection report (one row per line item)."""
-    li = table(spark, sf_dir, "lineitem").filter(
+    li = spread_if_narrow(table(spark, sf_dir, "lineitem").filter(
         F.col("l_shipdate") < F.lit(DOWNSTREAM_CUTOFF).cast("timestamp_ntz")
-    ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag")
+    ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     d = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     ordinal = F.struct(
