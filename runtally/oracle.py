@@ -31,8 +31,8 @@ def _case(expr: str, mapping: dict, default: str | None) -> str:
     return f"CASE {expr} {arms}{tail} END"
 
 
-def _cur_sy(species: str = "species") -> str:
-    arms = " ".join(f"WHEN {_q(s)} THEN {CFG.current_spawn_year(s)}" for s in CFG.species)
+def _cur_sy(species: str = "species", cfg: C.RunConfig = CFG) -> str:
+    arms = " ".join(f"WHEN {_q(s)} THEN {cfg.current_spawn_year(s)}" for s in cfg.species)
     return f"CAST(CASE {species} {arms} END AS INTEGER)"
 
 
@@ -81,21 +81,6 @@ def _token_map(m: dict) -> dict:
 
 CTES: dict[str, str] = {}
 
-CTES["det0"] = f"""
-SELECT 'T' || CAST(o.o_custkey AS VARCHAR) AS pit_id,
-       o.o_orderkey AS ordinal,
-       {_case('c.c_mktsegment', FX.SEGMENT_SPECIES, FX.OTHER_SPECIES)} AS species,
-       {_case('c.c_nationkey % 3', FX.NATION_REAR, FX.OTHER_REAR)} AS rear_type,
-       {_case('c.c_nationkey % 4', FX.NATION_RUN, FX.OTHER_RUN)} AS run_name,
-       {_case('o.o_custkey % 6', _token_map(FX.CUSTKEY_RELEASE_SITE), FX.OTHER_RELEASE_SITE.split(' ')[0])} AS release_sitecode,
-       {_case('o.o_orderstatus', FX.STATUS_STAGE, None)} AS release_lifestage,
-       DATE '1994-01-01' + CAST(o.o_custkey * 37 % 1500 AS INTEGER) AS release_datetime,
-       {_case('substr(o.o_orderpriority, 1, 1)', _token_map(FX.PRIORITY_SITE), FX.OTHER_SITE.split(' ')[0])} AS observation_sitecode,
-       o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)) + to_minutes(CAST(o.o_orderkey % 60 AS INTEGER)) AS observation_datetime,
-       CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE o.o_totalprice % 900 + 100 END AS length_mm
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE o.o_orderdate < {AS_OF_NEXT}"""
-
 CTES["det"] = """
 SELECT pit_id, species, rear_type, CAST(NULL AS VARCHAR) AS run_type, release_sitecode, release_lifestage,
        release_datetime, CAST(year(release_datetime) AS INTEGER) AS release_year,
@@ -108,9 +93,6 @@ SELECT pit_id, species, rear_type, CAST(NULL AS VARCHAR) AS run_type, release_si
        length_mm, ordinal
 FROM det0"""
 
-CTES["cur_det"] = f"""
-SELECT * FROM (SELECT *, {_cur_sy()} AS current_sy FROM det) WHERE spawn_year = current_sy"""
-
 CTES["ds"] = f"""
 SELECT 'T' || CAST(o.o_custkey AS VARCHAR) AS pit_id,
        {_case('l.l_returnflag', _token_map(FX.RETURNFLAG_SITE), FX.OTHER_DOWNSTREAM_SITE.split(' ')[0])} AS ds_site,
@@ -227,14 +209,6 @@ FROM cind_sum s LEFT JOIN cmarks m ON s.pit_id = m.pit_id
 WHERE s.spawn_year IS NOT NULL"""
 
 CTES["cdaily0"] = _daily("individuals_completed")
-CTES["daily_completed"] = f"""
-SELECT * FROM (
-  SELECT sfc_final_date, spawn_year, species, n, sy_total, cumulative_total,
-         CAST(n AS DOUBLE) / CAST(sy_total AS DOUBLE) AS daily_prop,
-         CAST(cumulative_total AS DOUBLE) / CAST(sy_total AS DOUBLE) AS daily_cumulative,
-         {_cur_sy()} AS current_sy
-  FROM cdaily0) WHERE spawn_year <> current_sy"""
-
 # ------------------------------------------------------------- progress
 CTES["dc"] = f"""
 SELECT *, CAST(dayofyear(sfc_final_date) AS INTEGER) AS day_of_year, {_dummy('sfc_final_date')} AS dummy_date
@@ -311,10 +285,6 @@ FROM (
          daily_cumulative, day_of_year
   FROM complete_current)"""
 
-CTES["rs_in"] = f"""
-SELECT *, CAST(daily_cumulative_n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY spawn_year, species) AS DOUBLE) AS prop_complete
-FROM alldaily WHERE spawn_year > {FLOOR} AND spawn_year < {_cur_sy()}"""
-
 CTES["run_stats"] = f"""
 SELECT dummy_date, species,
        CAST(round_even({_median('prop_complete')} * 100.0, 0) AS DOUBLE) AS median_percentcomplete,
@@ -327,56 +297,106 @@ CTES["flow_daily"] = """
 SELECT CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS mean_temp, max(l_extendedprice) AS mean_discharge
 FROM lineitem GROUP BY CAST(l_shipdate AS DATE)"""
 
-CTES["flow"] = f"""
-SELECT date, mean_temp, mean_discharge, 1 AS "group" FROM flow_daily
-WHERE date >= (SELECT min(sfc_final_date) FROM daily) AND date <= {AS_OF}"""
-
 _DOY = CFG.as_of.timetuple().tm_yday
 
 
-def _today_dummy(species: str = "species") -> str:
+def _today_dummy(species: str = "species", cfg: C.RunConfig = CFG) -> str:
+    doy = cfg.as_of.timetuple().tm_yday
     return (
-        f"CASE WHEN {species} = 'Steelhead' AND {_DOY} < 183 THEN DATE '1977-01-01' + {_DOY} "
-        f"ELSE DATE '1976-01-01' + {_DOY} END"
+        f"CASE WHEN {species} = 'Steelhead' AND {doy} < 183 THEN DATE '1977-01-01' + {doy} "
+        f"ELSE DATE '1976-01-01' + {doy} END"
     )
 
 
 _KNOWN = _in(CFG.species)
 
-CTES["ytd"] = f"""
-SELECT *, CASE WHEN spawn_year = current_sy THEN 'Current' WHEN spawn_year <> current_sy THEN 'Previous' END AS yr_category,
-       CAST(dayofyear(dummy_date) AS INTEGER) AS dummy_jday
-FROM (SELECT *, {_cur_sy()} AS current_sy,
-             CASE WHEN species IN {_KNOWN} THEN {_DOY} END AS today_jday,
-             CASE WHEN species IN {_KNOWN} THEN {_today_dummy()} END AS today_dummy
-      FROM alldaily WHERE spawn_year > {FLOOR})
-WHERE (CASE WHEN spawn_year = current_sy THEN 'Current' WHEN spawn_year <> current_sy THEN 'Previous' END) = 'Previous'
-   OR dummy_date <= today_dummy"""
+
+
+def config_ctes(cfg: C.RunConfig) -> dict[str, str]:
+    """The CTEs that depend on the run parameters (as-of date, floor year)."""
+    as_of_next = "TIMESTAMP '" + cfg.as_of.fromordinal(cfg.as_of.toordinal() + 1).isoformat() + " 00:00:00'"
+    as_of = f"DATE '{cfg.as_of.isoformat()}'"
+    doy = cfg.as_of.timetuple().tm_yday
+    known = _in(cfg.species)
+    cur = _cur_sy("species", cfg)
+    category = "CASE WHEN spawn_year = current_sy THEN 'Current' WHEN spawn_year <> current_sy THEN 'Previous' END"
+    return {
+        "det0": f"""
+SELECT 'T' || CAST(o.o_custkey AS VARCHAR) AS pit_id,
+       o.o_orderkey AS ordinal,
+       {_case('c.c_mktsegment', FX.SEGMENT_SPECIES, FX.OTHER_SPECIES)} AS species,
+       {_case('c.c_nationkey % 3', FX.NATION_REAR, FX.OTHER_REAR)} AS rear_type,
+       {_case('c.c_nationkey % 4', FX.NATION_RUN, FX.OTHER_RUN)} AS run_name,
+       {_case('o.o_custkey % 6', _token_map(FX.CUSTKEY_RELEASE_SITE), FX.OTHER_RELEASE_SITE.split(' ')[0])} AS release_sitecode,
+       {_case('o.o_orderstatus', FX.STATUS_STAGE, None)} AS release_lifestage,
+       DATE '1994-01-01' + CAST(o.o_custkey * 37 % 1500 AS INTEGER) AS release_datetime,
+       {_case('substr(o.o_orderpriority, 1, 1)', _token_map(FX.PRIORITY_SITE), FX.OTHER_SITE.split(' ')[0])} AS observation_sitecode,
+       o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)) + to_minutes(CAST(o.o_orderkey % 60 AS INTEGER)) AS observation_datetime,
+       CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE o.o_totalprice % 900 + 100 END AS length_mm
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_orderdate < {as_of_next}""",
+        "cur_det": f"""
+SELECT * FROM (SELECT *, {cur} AS current_sy FROM det) WHERE spawn_year = current_sy""",
+        "daily_completed": f"""
+SELECT * FROM (
+  SELECT sfc_final_date, spawn_year, species, n, sy_total, cumulative_total,
+         CAST(n AS DOUBLE) / CAST(sy_total AS DOUBLE) AS daily_prop,
+         CAST(cumulative_total AS DOUBLE) / CAST(sy_total AS DOUBLE) AS daily_cumulative,
+         {cur} AS current_sy
+  FROM cdaily0) WHERE spawn_year <> current_sy""",
+        "rs_in": f"""
+SELECT *, CAST(daily_cumulative_n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY spawn_year, species) AS DOUBLE) AS prop_complete
+FROM alldaily WHERE spawn_year > {cfg.floor_year} AND spawn_year < {cur}""",
+        "flow": f"""
+SELECT date, mean_temp, mean_discharge, 1 AS "group" FROM flow_daily
+WHERE date >= (SELECT min(sfc_final_date) FROM daily) AND date <= {as_of}""",
+        "ytd": f"""
+SELECT *, {category} AS yr_category, CAST(dayofyear(dummy_date) AS INTEGER) AS dummy_jday
+FROM (SELECT *, {cur} AS current_sy,
+             CASE WHEN species IN {known} THEN {doy} END AS today_jday,
+             CASE WHEN species IN {known} THEN {_today_dummy('species', cfg)} END AS today_dummy
+      FROM alldaily WHERE spawn_year > {cfg.floor_year})
+WHERE ({category}) = 'Previous' OR dummy_date <= today_dummy""",
+    }
+
+
+CTES.update(config_ctes(CFG))
+
+
+def status_dummy(cfg: C.RunConfig) -> str:
+    return f"DATE '1976-01-01' + {cfg.as_of.timetuple().tm_yday - 1}"
+
 
 STATUS_DUMMY = f"DATE '1976-01-01' + {_DOY - 1}"
 
 
-def _cte_deps(body: str) -> list[str]:
-    return [n for n in CTES if re.search(rf"\b{re.escape(n)}\b", body)]
+def _cte_deps(body: str, ctes: dict[str, str]) -> list[str]:
+    return [n for n in ctes if re.search(rf"\b{re.escape(n)}\b", body)]
+
+
+def ctes_for(cfg: C.RunConfig) -> dict[str, str]:
+    """The CTE library for another set of run parameters."""
+    return {**CTES, **config_ctes(cfg)}
 
 
-def with_ctes(select: str) -> str:
+def with_ctes(select: str, ctes: dict[str, str] | None = None) -> str:
     """Prefix ``select`` with every CTE it needs, in dependency order."""
+    ctes = CTES if ctes is None else ctes
     order: list[str] = []
 
     def visit(name: str, seen: tuple = ()):
         if name in order:
             return
-        for dep in _cte_deps(CTES[name]):
+        for dep in _cte_deps(ctes[name], ctes):
             if dep != name and dep not in seen:
                 visit(dep, seen + (name,))
         order.append(name)
 
-    for n in _cte_deps(select):
+    for n in _cte_deps(select, ctes):
         visit(n)
     if not order:
         return select
-    body = ",\n".join(f"{n} AS ({CTES[n]}\n)" for n in order)
+    body = ",\n".join(f"{n} AS ({ctes[n]}\n)" for n in order)
     head = select.lstrip()
     if head[:4].upper() == "WITH":
         return f"WITH {body},\n{head[4:].lstrip()}"

@@ -31,18 +31,20 @@ ROUND = 6
 _tables: dict[tuple, RunTables] = {}
 
 
-def tables(spark: SparkSession, sf_dir: str) -> RunTables:
-    key = (id(spark), sf_dir)
+def tables(spark: SparkSession, sf_dir: str, cfg: C.RunConfig = CFG) -> RunTables:
+    key = (id(spark), sf_dir, cfg)
     if key not in _tables:
-        _tables[key] = RunTables.from_driver_tables(spark, sf_dir, CFG)
+        _tables[key] = RunTables.from_driver_tables(spark, sf_dir, cfg)
     return _tables[key]
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, cfg: C.RunConfig = CFG):
+    ctes = O.CTES if cfg == CFG else O.ctes_for(cfg)
+
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = O.with_ctes(sql)
+            SQL[name] = O.with_ctes(sql, ctes)
         return fn
     return deco
 
@@ -545,3 +547,42 @@ def q_entry_zone(spark, sf):
 def q_ds_ampm(spark, sf):
     ds = canonical.downstream_detections(tables(spark, sf).live_downstream_raw, ampm="ignore")
     return canonical.latest_downstream_time(ds)
+
+
+# ------------------------------------------ second fixture point: mid-year
+# as_of = 2000-09-01: the mid-year species' current spawn year is 2001 while
+# every other species is in 2000, so the per-species key, the Jul-Dec
+# branch of the spawn year and the first-half/second-half dummy calendars
+# all take their other branch.
+MID = C.FIXTURE_CONFIG_MIDYEAR
+
+
+@register("current_year_detections_midyear", f"SELECT {DET_COLS}, current_sy FROM cur_det", MID)
+def q_current_year_mid(spark, sf):
+    return tables(spark, sf, MID).current_detections
+
+
+@register("daily_entries_midyear", "SELECT * FROM daily", MID)
+def q_daily_mid(spark, sf):
+    return tables(spark, sf, MID).daily
+
+
+@register("run_stats_midyear", "SELECT * FROM run_stats", MID)
+def q_run_stats_mid(spark, sf):
+    return tables(spark, sf, MID).run_stats
+
+
+@register("year_to_date_midyear", "SELECT * FROM ytd", MID)
+def q_ytd_mid(spark, sf):
+    return tables(spark, sf, MID).year_to_date
+
+
+@register(
+    "run_status_today_midyear",
+    f"""SELECT *, {_num_text('median_percentcomplete')} || ' %' AS median_text,
+               'Range: ' || {_num_text('min_percentcomplete')} || ' % - ' || {_num_text('max_percentcomplete')} || ' %' AS range_text
+        FROM run_stats WHERE dummy_date = {O.status_dummy(MID)}""",
+    MID,
+)
+def q_run_status_mid(spark, sf):
+    return dashboard.run_status_today(tables(spark, sf, MID).run_stats, MID)
