@@ -32,6 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("RUNTALLY_DRIVER_MEMORY", "8g"))
         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
         .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
+        # many distinct plans share stage shapes: keep more compiled classes
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for k, v in SQL_CONF.items():
         b = b.config(k, v)
