@@ -194,6 +194,11 @@ def number_text(x: Column | str) -> Column:
     return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
 
 
+def month_day(d: Column | str) -> Column:
+    """Abbreviated month and zero-padded day ("Mar 04")."""
+    return F.date_format(col(d), "MMM dd")
+
+
 def case_map(key: Column | str, mapping: Mapping, default=None) -> Column:
     """Small literal lookup as a CASE chain (no join, stays in codegen)."""
     k = col(key)

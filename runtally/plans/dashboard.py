@@ -151,3 +151,26 @@ def species_cumulative(ytd: DataFrame, cfg: C.RunConfig, species: str) -> DataFr
 def first_entry_date(ind: DataFrame, entry_date_zone: str | None = None) -> DataFrame:
     """OP28: earliest entry day over all fish (slider lower bound)."""
     return ind.agg(F.min(X.entry_date("sfc_entry_final", entry_date_zone)).alias("slider_min"))
+
+
+def cumulative_labels(ytd: DataFrame) -> DataFrame:
+    """Display text of the year-to-date cumulative series (one per point)."""
+    text = X.concat_strict(
+        " Date: ", X.month_day("dummy_date"), " <br> Spawn Year: ", F.col("spawn_year").cast("string"),
+        " <br> Number In: ", F.bround("daily_cumulative_n", 0).cast("bigint").cast("string"),
+    )
+    return ytd.select("species", "spawn_year", "dummy_date", text.alias("label"))
+
+
+def daily_entry_labels(daily: DataFrame) -> DataFrame:
+    """Display text of the daily entry counts."""
+    text = X.concat_strict(
+        " Date: ", F.col("sfc_final_date").cast("string"), " <br> Number Fish Entered: ", F.col("n").cast("string")
+    )
+    return daily.select("species", "spawn_year", "sfc_final_date", text.alias("label"))
+
+
+def length_frequency_labels(lf: DataFrame) -> DataFrame:
+    """Display text of the length-frequency bars."""
+    text = X.concat_strict("Length Bin: ", X.number_text("length_bin_in"), "<br>Number: ", F.col("freq").cast("string"))
+    return lf.select("species", "length_bin_in", text.alias("label"))

@@ -586,3 +586,40 @@ def q_ytd_mid(spark, sf):
 )
 def q_run_status_mid(spark, sf):
     return dashboard.run_status_today(tables(spark, sf, MID).run_stats, MID)
+
+
+# ------------------------------------------------------ display texts
+# The text the dashboard attaches to each plotted point (NULL-propagating
+# concatenation, "%b %d" dates, whole numbers without decimals).
+
+@register(
+    "cumulative_labels",
+    """SELECT species, spawn_year, dummy_date,
+              ' Date: ' || strftime(dummy_date, '%b %d') || ' <br> Spawn Year: ' || CAST(spawn_year AS VARCHAR)
+              || ' <br> Number In: ' || CAST(CAST(round_even(daily_cumulative_n, 0) AS BIGINT) AS VARCHAR) AS label
+       FROM ytd""",
+)
+def q_cumulative_labels(spark, sf):
+    return dashboard.cumulative_labels(tables(spark, sf).year_to_date)
+
+
+@register(
+    "daily_entry_labels",
+    """SELECT species, spawn_year, sfc_final_date,
+              ' Date: ' || CAST(sfc_final_date AS VARCHAR) || ' <br> Number Fish Entered: ' || CAST(n AS VARCHAR) AS label
+       FROM daily""",
+)
+def q_daily_labels(spark, sf):
+    return dashboard.daily_entry_labels(tables(spark, sf).daily)
+
+
+@register(
+    "length_frequency_labels",
+    f"""WITH a AS (SELECT species, floor(length_mm / 25.4 * 2.0) / 2.0 AS length_bin_in
+                   FROM individuals_live WHERE release_lifestage = 'Adult' AND length_mm IS NOT NULL)
+        SELECT species, length_bin_in,
+               'Length Bin: ' || {_num_text('length_bin_in')} || '<br>Number: ' || CAST(count(*) AS VARCHAR) AS label
+        FROM a GROUP BY species, length_bin_in""",
+)
+def q_lf_labels(spark, sf):
+    return dashboard.length_frequency_labels(dashboard.length_frequency(tables(spark, sf).individuals))
