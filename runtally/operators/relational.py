@@ -53,7 +53,11 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def median_min_max(df: DataFrame, group: Sequence[str], value: str, prefix: dict[str, str]) -> list[Column]:
-    """Exact median (interpolating), min and max of ``value``; NULLs skipped."""
+    """Exact median (interpolating), min and max of ``value``; NULLs skipped.
+
+    The exact median keeps every value of a group in one task: use it only
+    on groups with a known bound (days of a year, years per calendar day).
+    """
     v = F.col(value)
     fns = {"median": F.median(v), "min": F.min(v), "max": F.max(v)}
     return [fns[k].alias(n) for k, n in prefix.items()]

@@ -455,13 +455,16 @@ def q_fixed_width_bins(spark, sf):
 
 @register(
     "median_min_max",
-    f"""SELECT species, {O._median('sfc_diff')} AS median_diff, min(sfc_diff) AS min_diff, max(sfc_diff) AS max_diff
-        FROM individuals_completed GROUP BY species""",
+    # Exact medians buffer a group's values in one task, so they only run
+    # on bounded groups: here the daily counts of one species and year
+    # (at most 366 values), as the source does for its run statistics.
+    f"""SELECT species, spawn_year, {O._median('n')} AS median_n, min(n) AS min_n, max(n) AS max_n
+        FROM daily_completed GROUP BY species, spawn_year""",
 )
 def q_median_min_max(spark, sf):
-    ind = tables(spark, sf).completed_individuals
-    return ind.groupBy("species").agg(*relational.median_min_max(
-        ind, ["species"], "sfc_diff", {"median": "median_diff", "min": "min_diff", "max": "max_diff"}))
+    d = tables(spark, sf).daily_completed
+    return d.groupBy("species", "spawn_year").agg(*relational.median_min_max(
+        d, ["species", "spawn_year"], "n", {"median": "median_n", "min": "min_n", "max": "max_n"}))
 
 
 @register(
