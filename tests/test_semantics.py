@@ -280,3 +280,70 @@ def test_run_stats_excludes_floor_and_current(spark):
     ytd = dashboard.year_to_date(alld, cfg)
     assert ytd.filter("spawn_year = 1998").count() == 0
     assert ytd.filter("spawn_year = 2001").agg(F.max("dummy_date")).first()[0] <= dt.date(1976, 3, 15)
+
+
+# ------------------------------------------------- progress-chain rules
+
+def _daily_rows(spark, rows, with_current=True):
+    """rows: (date, spawn_year, species, n) -> a daily table with totals."""
+    d = spark.createDataFrame(rows, "sfc_final_date date, spawn_year int, species string, n long")
+    d = running.group_total(d, ["spawn_year", "species"], "n", "sy_total")
+    d = running.running_total(d, ["spawn_year", "species"], ["sfc_final_date"], "n", "cumulative_total")
+    d = d.withColumns({"daily_prop": F.col("n") / F.col("sy_total"),
+                       "daily_cumulative": F.col("cumulative_total") / F.col("sy_total")})
+    if with_current:
+        d = d.withColumn("current_sy", X.current_spawn_year("species", C.FIXTURE_CONFIG))
+    return d
+
+
+def test_unknown_species_dropped_from_completed_daily(spark):
+    ind = spark.createDataFrame(
+        [("A", "Sockeye", 1999, dt.datetime(1999, 5, 1, 10)), ("B", "Chinook", 1999, dt.datetime(1999, 5, 1, 10)),
+         ("C", "Chinook", 2001, dt.datetime(2001, 1, 5, 10))],
+        "pit_id string, species string, spawn_year int, sfc_entry_final timestamp_ntz")
+    got = completed.daily_completed(ind, C.FIXTURE_CONFIG).collect()
+    assert [(r.species, r.spawn_year) for r in got] == [("Chinook", 1999)]
+
+
+def test_steelhead_overshoot_rows_survive_the_grid(spark):
+    # 30 June 2001 is doy 181 -> dummy 1977-07-01, past the species' last day
+    rows = [(dt.date(2000, 7, 10), 2001, "Steelhead", 2), (dt.date(2001, 6, 30), 2001, "Steelhead", 1)]
+    cfg = C.RunConfig(as_of=dt.date(2002, 3, 1), floor_year=1990)
+    comp = progress.complete_daily(_daily_rows(spark, rows), cfg)
+    days = [r.dummy_date for r in comp.orderBy("dummy_date").collect()]
+    assert days[0] == dt.date(1976, 7, 10) and days[-1] == dt.date(1977, 7, 1)
+    assert dt.date(1977, 6, 30) in days
+    last = comp.filter(F.col("dummy_date") == dt.date(1977, 7, 1)).first()
+    assert (last.n, last.cumulative_total, last.daily_cumulative) == (1, 3, 1.0)
+    # grid rows before the first entry of the year carry nothing forward
+    first = comp.orderBy("dummy_date").first()
+    assert first.n == 2 and first.sy_total == 3
+
+
+def test_complete_current_fills_spawn_year_forward(spark):
+    rows = [(dt.date(2001, 1, 3), 2001, "Chinook", 1), (dt.date(2001, 1, 6), 2001, "Chinook", 2)]
+    cur = progress.complete_current(_daily_rows(spark, rows, with_current=False), C.FIXTURE_CONFIG)
+    r = cur.filter(F.col("dummy_date") == dt.date(1976, 1, 4)).first()
+    assert (r.spawn_year, r.n, r.cumulative_total, r.daily_prop) == (2001, 0, 1, 0.0)
+    assert cur.agg(F.max("dummy_date")).first()[0] == dt.date(1976, 12, 31)
+
+
+def test_status_date_modes():
+    import datetime as _dt
+    early = C.RunConfig(as_of=_dt.date(2001, 3, 15))
+    assert early.as_of.timetuple().tm_yday == 74
+
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    df = spark.createDataFrame([("Steelhead",), ("Chinook",)], "species string")
+    ref = [r[0] for r in df.select(dashboard.status_dummy_date(early, F.col("species"))).collect()]
+    assert ref == [_dt.date(1976, 3, 14), _dt.date(1976, 3, 14)]
+    aligned = C.RunConfig(as_of=_dt.date(2001, 3, 15), status_date_mode="aligned")
+    got = [r[0] for r in df.select(dashboard.status_dummy_date(aligned, F.col("species"))).collect()]
+    assert got == [_dt.date(1977, 3, 16), _dt.date(1976, 3, 14)]
+
+
+def test_entry_date_zone_variant(spark):
+    df = spark.createDataFrame([(dt.datetime(2001, 3, 4, 20, 30),)], "t timestamp_ntz")
+    local, utc = df.select(X.entry_date("t"), X.entry_date("t", "UTC")).first()
+    assert local == dt.date(2001, 3, 4) and utc == dt.date(2001, 3, 5)
