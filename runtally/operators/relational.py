@@ -82,7 +82,11 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     has thousands of splits and is left untouched (no extra shuffle). Row
     order must already be captured in a column (the report ordinal).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
