@@ -70,8 +70,17 @@ def _ntz_epoch() -> Column:
 
 
 def ntz_micros(ts: Column | str) -> Column:
-    """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ."""
-    return F.timestamp_diff("MICROSECOND", _ntz_epoch(), col(ts))
+    """Wall-clock microseconds since 1970-01-01 of a TIMESTAMP_NTZ.
+
+    Built from the date and clock fields, which carry no zone: a
+    ``timestamp_diff`` on NTZ values applies the session zone's DST rules
+    and is an hour off around a gap in that zone.
+    """
+    c = col(ts)
+    day = F.unix_date(F.to_date(c)).cast("long") * 86_400_000_000
+    clock = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * 1_000_000
+    seconds = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return day + clock + seconds
 
 
 def local_to_utc(ts: Column | str, zone: str = C.LOCAL_ZONE) -> Column:
@@ -80,8 +89,12 @@ def local_to_utc(ts: Column | str, zone: str = C.LOCAL_ZONE) -> Column:
 
 
 def elapsed_days(later: Column | str, earlier: Column | str, zone: str = C.LOCAL_ZONE) -> Column:
-    """Elapsed (not calendar) days between two local wall clocks, as double."""
-    micros = F.timestamp_diff("MICROSECOND", local_to_utc(earlier, zone), local_to_utc(later, zone))
+    """Elapsed (not calendar) days between two local wall clocks, as double.
+
+    Both clocks become UTC wall clocks (``convert_timezone`` with an explicit
+    zone); their difference is then plain arithmetic on zone-free fields.
+    """
+    micros = ntz_micros(local_to_utc(later, zone)) - ntz_micros(local_to_utc(earlier, zone))
     return micros.cast("double") / F.lit(86_400_000_000.0)
 
 

@@ -69,6 +69,22 @@ def test_parse_independent_of_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_elapsed_days_independent_of_session_zone(spark):
+    """1995-04-02 02:30 does not exist in New York; the result must not care."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    rows = [(dt.datetime(2000, 11, 4, 20, 44), dt.datetime(1995, 4, 1, 18, 30))]
+    got = []
+    try:
+        for tz in ("UTC", "America/New_York", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+            got.append(df.select(X.elapsed_days("b", "a"), X.ntz_micros("b")).first())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[0] == got[1] == got[2]
+    assert got[0][0] == pytest.approx(-2044.0930555555556)
+
+
 def test_parse_mdy_both_spellings(spark):
     df = spark.createDataFrame([("3/5/2001",), ("03052001",), ("bad",)], "s string")
     got = [r[0] for r in df.select(X.parse_mdy("s")).collect()]
