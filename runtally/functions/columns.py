@@ -207,9 +207,16 @@ def number_text(x: Column | str) -> Column:
     return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
 
 
+# English month abbreviations, as the "%b" format prints them.
+MONTH_ABBREVIATIONS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
+
 def month_day(d: Column | str) -> Column:
-    """Abbreviated month and zero-padded day ("Mar 04")."""
-    return F.date_format(col(d), "MMM dd")
+    """Abbreviated month and zero-padded day ("Mar 04"), independent of the
+    JVM locale and the session zone."""
+    c = col(d)
+    months = F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS])
+    return F.format_string("%s %02d", F.element_at(months, F.month(c)), F.dayofmonth(c))
 
 
 def case_map(key: Column | str, mapping: Mapping, default=None) -> Column:

@@ -41,13 +41,30 @@ NATION_RUN = {0: "Spring", 1: "Summer", 2: "Fall"}
 OTHER_RUN = "Winter"
 RELEASE_ORIGIN = dt.date(1994, 1, 1)
 DOWNSTREAM_CUTOFF = dt.date(2000, 1, 1)
-OBS_TEXT_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def clock_text(ts) -> F.Column:
+    """NTZ wall clock as report text "MM/dd/yyyy hh:mm:ss AM", built from its
+    fields: ``date_format`` would pass through the session zone and shift a
+    clock that falls in that zone's DST gap."""
+    h = F.hour(ts)
+    return F.format_string(
+        "%02d/%02d/%04d %02d:%02d:%02d %s",
+        F.month(ts), F.dayofmonth(ts), F.year(ts), (h + 11) % 12 + 1, F.minute(ts), F.second(ts),
+        F.when(h < 12, F.lit("AM")).otherwise(F.lit("PM")),
+    )
+
+
+def date_text(d, compact: bool) -> F.Column:
+    """Date as "MM/dd/yyyy" or "MMddyyyy", from its fields."""
+    fmt = "%02d%02d%04d" if compact else "%02d/%02d/%04d"
+    return F.format_string(fmt, F.month(d), F.dayofmonth(d), F.year(d))
+
+
 def _tag(custkey) -> F.Column:
     return F.concat(F.lit("T"), custkey.cast("string"))
 
@@ -78,8 +95,8 @@ def detection_feed(spark: SparkSession, sf_dir: str, cfg: C.RunConfig, completed
         else F.lit(None).cast("string"),
         "site": case_map(F.substring("o_orderpriority", 1, 1), PRIORITY_SITE, OTHER_SITE),
         "release_site": _release_site(F.col("o_custkey")),
-        "obs_time": F.date_format(obs, OBS_TEXT_FORMAT),
-        "release_date": F.date_format(release, "MMddyyyy" if completed else "MM/dd/yyyy"),
+        "obs_time": clock_text(obs),
+        "release_date": date_text(release, compact=completed),
         "mark_life_stage": case_map("o_orderstatus", STATUS_STAGE),
         "mark_length": F.when(key % 11 != 0, F.col("o_totalprice") % 900 + 100),
         "ordinal": key,
@@ -103,7 +120,7 @@ def downstream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tag(F.col("o_custkey")).alias("tag"),
         case_map("l_returnflag", RETURNFLAG_SITE, OTHER_DOWNSTREAM_SITE).alias("site"),
         _release_site(F.col("o_custkey")).alias("release_site"),
-        F.date_format("l_shipdate", OBS_TEXT_FORMAT).alias("obs_time"),
+        clock_text(F.col("l_shipdate")).alias("obs_time"),
         ordinal.alias("ordinal"),
     )
 

@@ -85,6 +85,18 @@ def test_elapsed_days_independent_of_session_zone(spark):
     assert got[0][0] == pytest.approx(-2044.0930555555556)
 
 
+def test_fixture_text_and_labels_independent_of_session_zone(spark):
+    from runtally.sources.fixtures import clock_text, date_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(dt.datetime(1995, 4, 2, 2, 30), dt.date(1995, 4, 2))], "t timestamp_ntz, d date")
+        r = df.select(clock_text(F.col("t")), date_text(F.col("d"), True), X.month_day("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert tuple(r) == ("04/02/1995 02:30:00 AM", "04021995", "Apr 02")
+
+
 def test_parse_mdy_both_spellings(spark):
     df = spark.createDataFrame([("3/5/2001",), ("03052001",), ("bad",)], "s string")
     got = [r[0] for r in df.select(X.parse_mdy("s")).collect()]
