@@ -216,7 +216,7 @@ def month_day(d: Column | str) -> Column:
     JVM locale and the session zone."""
     c = col(d)
     months = F.array(*[F.lit(m) for m in MONTH_ABBREVIATIONS])
-    return F.format_string("%s %02d", F.element_at(months, F.month(c)), F.dayofmonth(c))
+    return F.concat(F.element_at(months, F.month(c)), F.lit(" "), F.lpad(F.dayofmonth(c).cast("string"), 2, "0"))
 
 
 def case_map(key: Column | str, mapping: Mapping, default=None) -> Column:
