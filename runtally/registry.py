@@ -626,3 +626,88 @@ def q_daily_labels(spark, sf):
 )
 def q_lf_labels(spark, sf):
     return dashboard.length_frequency_labels(dashboard.length_frequency(tables(spark, sf).individuals))
+
+
+# ------------------------------------- operator isolations (survey §7.3)
+# Same operators as inside the domain queries, applied to other inputs so
+# that each one is checked on its own.
+
+@register(
+    "semi_or_exists",
+    f"""SELECT {DET_COLS} FROM det
+        WHERE pit_id IN (SELECT pit_id FROM ds_latest WHERE ds_site = 'GRA') OR release_lifestage = 'Adult'""",
+)
+def q_semi_or_exists(spark, sf):
+    t = tables(spark, sf)
+    last_at_gra = canonical.latest_downstream(t.downstream).filter(F.col("ds_site") == "GRA")
+    flagged = relational.flag_members(t.detections, last_at_gra, "pit_id", "_seen_downstream")
+    return flagged.filter(F.col("_seen_downstream") | (F.col("release_lifestage") == "Adult")).drop("_seen_downstream")
+
+
+@register(
+    "union_missing_cols",
+    """SELECT pit_id, observation_datetime, observation_sitecode, CAST(NULL AS VARCHAR) AS ds_site FROM det
+       UNION ALL
+       SELECT pit_id, CAST(NULL AS TIMESTAMP) AS observation_datetime, CAST(NULL AS VARCHAR) AS observation_sitecode,
+              ds_site FROM ds_latest""",
+)
+def q_union_missing(spark, sf):
+    t = tables(spark, sf)
+    a = t.detections.select("pit_id", "observation_datetime", "observation_sitecode")
+    b = canonical.latest_downstream(t.downstream).select("pit_id", "ds_site")
+    return relational.union_all([a, b], allow_missing=True)
+
+
+@register(
+    "inner_join_latest",
+    """SELECT l.pit_id, l.observation_datetime, d.ds_datetime, d.ds_site
+       FROM (SELECT pit_id, observation_datetime FROM (
+               SELECT *, row_number() OVER (PARTITION BY pit_id ORDER BY observation_datetime DESC, ordinal) AS rn
+               FROM det WHERE observation_datetime IS NOT NULL) WHERE rn = 1) l
+       JOIN ds_latest d ON l.pit_id = d.pit_id""",
+)
+def q_inner_join_latest(spark, sf):
+    t = tables(spark, sf)
+    latest = ordered.top1_by_key(t.detections, ["pit_id"], "observation_datetime", "ordinal", ["observation_datetime"])
+    return latest.join(canonical.latest_downstream(t.downstream), "pit_id", "inner")
+
+
+@register(
+    "scalar_bound_filter",
+    """SELECT date, mean_temp, mean_discharge FROM flow_daily
+       WHERE date >= (SELECT min(CAST(observation_datetime AS DATE)) FROM det)""",
+)
+def q_scalar_bound(spark, sf):
+    t = tables(spark, sf)
+    lo = t.detections.agg(F.min(F.to_date("observation_datetime")).alias("_lo"))
+    return relational.with_scalar(t.flow_daily, lo).filter(F.col("date") >= F.col("_lo")).drop("_lo")
+
+
+@register(
+    "global_max_column",
+    "SELECT pit_id, ordinal, spawn_year, (SELECT max(spawn_year) FROM det) AS most_recent FROM det",
+)
+def q_global_max(spark, sf):
+    det = tables(spark, sf).detections
+    top = det.agg(F.max("spawn_year").alias("most_recent"))
+    return relational.with_scalar(det.select("pit_id", "ordinal", "spawn_year"), top)
+
+
+@register(
+    "top1_global",
+    """SELECT pit_id, ordinal, observation_datetime FROM det WHERE observation_datetime IS NOT NULL
+       ORDER BY observation_datetime DESC, ordinal LIMIT 1""",
+)
+def q_top1_global(spark, sf):
+    det = tables(spark, sf).detections.filter(F.col("observation_datetime").isNotNull())
+    return det.orderBy(F.col("observation_datetime").desc(), F.col("ordinal")).limit(1).select(
+        "pit_id", "ordinal", "observation_datetime")
+
+
+@register(
+    "kleene_not_and",
+    f"""SELECT {DET_COLS} FROM det WHERE NOT (release_lifestage = 'Juvenile' AND yrs_at_large = 0)""",
+)
+def q_kleene(spark, sf):
+    det = tables(spark, sf).detections
+    return det.filter(X.not_same_year_juvenile("yrs_at_large", "release_lifestage"))
