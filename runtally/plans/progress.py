@@ -2,13 +2,15 @@
 
 Inputs are the daily tables (one row per species, spawn year and entry
 day), so every operator here works on at most species x years x 366 rows
-whatever the detection volume; windows over (species, year) are small by
-construction and the grid join is shuffled on its full key.
+whatever the detection volume. The chain keeps one partitioning: the first
+window (by species) places each species' rows together, and the calendar
+completion, zero fill and fill-down of every (species, year) then run inside
+it without further exchanges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runtally import config as C
@@ -38,8 +40,12 @@ def complete_daily(daily_completed: DataFrame, cfg: C.RunConfig) -> DataFrame:
     species' earliest completed day to its last calendar day; counts and
     shares zero-filled, totals carried forward."""
     d = with_dummy_calendar(daily_completed, cfg)
-    mins = species_min_dummy(daily_completed, cfg)
-    d = d.join(F.broadcast(mins), "species", "left").withColumn("max_date", X.max_dummy_date("species"))
+    # species minimum over all completed years (D5) as a window: the one
+    # exchange (by species) also serves every later window of this chain
+    d = d.withColumns({
+        "min_dummy": F.min("dummy_date").over(Window.partitionBy("species")),
+        "max_date": X.max_dummy_date("species"),
+    })
     keys = ["species", "spawn_year"]
     out = complete_dates(d, keys, "dummy_date", F.min("min_dummy"), F.max("max_date"))
     out = out.drop("min_dummy", "max_date")
