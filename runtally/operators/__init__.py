@@ -1,7 +1,7 @@
 """Generic DataFrame -> DataFrame operators; key, order and measure column
 names are arguments, so the domain pipelines are only compositions."""
 
-from runtally.operators.densify import complete_dates, date_grid, zero_fill
+from runtally.operators.densify import complete_dates, complete_dates_join, date_grid, zero_fill
 from runtally.operators.ordered import first_by, first_by_where, last_by_where, top1_by_key
 from runtally.operators.relational import (
     broadcast_bounded,
@@ -20,7 +20,7 @@ from runtally.operators.running import (
 )
 
 __all__ = [
-    "broadcast_bounded", "complete_dates", "date_grid", "fill_down", "first_by",
+    "broadcast_bounded", "complete_dates", "complete_dates_join", "date_grid", "fill_down", "first_by",
     "first_by_where", "flag_members", "group_total", "group_total_agg",
     "last_by_where", "median_min_max", "pivot_values", "running_total",
     "share_of_total", "top1_by_key", "union_all", "with_scalar", "zero_fill",

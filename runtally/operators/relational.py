@@ -42,11 +42,6 @@ def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str) -> Data
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def scalar(df: DataFrame, agg: Column, name: str) -> DataFrame:
-    """One-row aggregate, to be cross-joined as a broadcast scalar."""
-    return F.broadcast(df.agg(agg.alias(name)))
-
-
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row table to every row (broadcast)."""
     return df.crossJoin(F.broadcast(one_row))

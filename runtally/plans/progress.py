@@ -29,12 +29,6 @@ def with_dummy_calendar(daily: DataFrame, cfg: C.RunConfig) -> DataFrame:
     })
 
 
-def species_min_dummy(daily_completed: DataFrame, cfg: C.RunConfig) -> DataFrame:
-    """D5: earliest dummy date per species over the completed years."""
-    d = with_dummy_calendar(daily_completed, cfg)
-    return d.groupBy("species").agg(F.min("dummy_date").alias("min_dummy"))
-
-
 def complete_daily(daily_completed: DataFrame, cfg: C.RunConfig) -> DataFrame:
     """OP12: every completed (species, year) spans every dummy day from the
     species' earliest completed day to its last calendar day; counts and

@@ -129,9 +129,6 @@ def q_marks(spark, sf):
     return live.mark_attributes(tables(spark, sf).current_detections)
 
 
-_IND_LIVE = [c if c != "length_mm" else None for c in live.INDIVIDUAL_COLUMNS]
-
-
 def _round_len(df: DataFrame, cols) -> DataFrame:
     return df.select(*[_r(c) if c in ("length_mm", "mean_length", "mean_length_in") else F.col(c) for c in cols])
 

@@ -375,3 +375,30 @@ def test_entry_date_zone_variant(spark):
     df = spark.createDataFrame([(dt.datetime(2001, 3, 4, 20, 30),)], "t timestamp_ntz")
     local, utc = df.select(X.entry_date("t"), X.entry_date("t", "UTC")).first()
     assert local == dt.date(2001, 3, 4) and utc == dt.date(2001, 3, 5)
+
+
+def test_complete_dates_forms_agree(spark):
+    """In-partition completion == full-outer-join completion, including NULL
+    keys, days outside the grid, duplicate days and NULL dates."""
+    rows = [
+        ("a", 1, dt.date(2001, 1, 2), 5), ("a", 1, dt.date(2001, 1, 2), 6),   # duplicate day
+        ("a", 1, dt.date(2001, 1, 9), 1),                                      # outside the grid
+        ("a", 2, dt.date(2001, 1, 1), 2), ("a", 2, None, 3),                   # NULL date
+        (None, 1, dt.date(2001, 1, 3), 4),                                     # NULL key
+        ("b", 1, dt.date(2001, 1, 5), 7),                                      # lo > hi: no grid
+    ]
+    df = spark.createDataFrame(rows, "g string, y int, d date, v int").withColumns({
+        "lo": F.when(F.col("g") == "b", F.lit(dt.date(2001, 1, 6))).otherwise(F.lit(dt.date(2001, 1, 1))),
+        "hi": F.when(F.col("g") == "b", F.lit(dt.date(2001, 1, 5))).otherwise(F.lit(dt.date(2001, 1, 4))),
+    })
+    a = densify.complete_dates(df, ["g", "y"], "d", F.min("lo"), F.max("hi")).drop("lo", "hi")
+    b = densify.complete_dates_join(df, ["g", "y"], "d", F.min("lo"), F.max("hi")).drop("lo", "hi")
+
+    def key(r):
+        return tuple((x is None, str(x)) for x in r)
+    ra = sorted((tuple(r) for r in a.select("g", "y", "d", "v").collect()), key=key)
+    rb = sorted((tuple(r) for r in b.select("g", "y", "d", "v").collect()), key=key)
+    assert ra == rb
+    # (a,1): 3 uncovered grid days + 2 duplicate rows + 1 outside = 6;
+    # (a,2): 3 + 1 + NULL-date row = 5; (NULL,1): 3 + 1 = 4; b: no grid, 1
+    assert len(ra) == 16
