@@ -1,6 +1,5 @@
 """Landed report files, Parquet marts, batch jobs and snapshot ingestion."""
 
-import datetime as dt
 
 import pandas as pd
 from pyspark.sql import functions as F
