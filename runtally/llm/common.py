@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import os
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,17 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 IN_TASK = (1 << 33) - 1
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver found it (for the code of the tasks)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

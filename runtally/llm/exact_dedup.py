@@ -200,7 +200,9 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column, digest=sha256) -> DataFram
 def _collisions(docs: DataFrame, shared: DataFrame, digest) -> DataFrame:
     """Byte check: the digests under which more than one text was found."""
     texts = docs.select(normalised(F.col("text")).alias("bytes")).withColumn("digest", digest(F.col("bytes")))
-    return (texts.join(shared, "digest", "left_semi").groupBy("digest", "bytes").agg(F.count(F.lit(1)).alias("n"))
+    # grouped by the text before anything is joined, so copies collapse in each task
+    distinct = texts.groupBy("digest", "bytes").agg(F.count(F.lit(1)).alias("n")).select("digest")
+    return (distinct.join(shared, "digest", "left_semi")
             .groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"))
 
 

@@ -64,15 +64,16 @@ class Cut:
     part: int = UNITS  # of the rows at that key, those whose id hash lies below go left
 
 
-def _points(docs: DataFrame, make) -> DataFrame:
+def _point(make) -> list[Column]:
+    """doc_id, size, text_crc32, unit, keys of a row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     tail = F.shiftrightunsigned(F.xxhash64(text), 64 - (KEY_BITS - LEAD))
     keys = [F.shiftleft(F.floor(F.least(F.greatest(d, F.lit(0.0)), F.lit(1 - 1e-9)) * (1 << LEAD)), KEY_BITS - LEAD).bitwiseOR(tail)
             for d in make(text).values()]
-    return docs.select(
+    return [
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(UNITS)).alias("unit"), F.array(*keys).alias("keys"))
+        F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(UNITS)).alias("unit"), F.array(*keys).alias("keys")]
 
 
 def _cuts(rows: DataFrame, nodes: dict[int, int], dims: int, ranges: list[int]) -> list[Cut]:
@@ -130,33 +131,58 @@ def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
-def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, make=dimensions) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot.
+def fit_tree(points: DataFrame, dims: int, shards: int) -> list[list[tuple]]:
+    """The tree, level by level: (node, dim, key, part, node on the right) of each cut.
 
-    The tree is split until its leaves reach ``target_bytes`` (or there are ``shards`` leaves).
+    A node bears the number of its first shard.
     """
-    rows = materialise(_points(docs, make).withColumn("node", F.lit(0)))
-    if shards is None:
-        total = rows.agg(F.sum("size")).first()[0] or 0
-        shards = max(1, math.ceil(total / target_bytes))
-    dims = len(make(F.lit("")))
-    first = {0: 0}  # node -> its first shard
-    nodes = {0: shards}
-    ranges: list[int] = []
+    rows = points.withColumn("node", F.lit(0))
+    nodes, ranges, levels = {0: shards}, [], []
     while any(n > 1 for n in nodes.values()):
         cuts = _cuts(rows, nodes, dims, ranges)
         if not cuts:  # no rows
             break
-        at = _rows(docs.sparkSession, [(c.node, c.dim, c.key, c.part, first[c.node] + c.left) for c in cuts],
-                   "node int, dim int, cut long, part long, right int")
-        key = F.element_at("keys", F.col("dim") + 1)
-        goes_right = (key > F.col("cut")) | ((key == F.col("cut")) & (F.col("unit") >= F.col("part")))
-        rows = rows.join(F.broadcast(at), "node", "left").select(
-            *(c for c in rows.columns if c != "node"),
-            F.when(goes_right, F.col("right")).otherwise(F.col("node")).alias("node"))
-        for c in cuts:  # a node keeps the number of its first shard
-            nodes[first[c.node] + c.left] = nodes[c.node] - c.left
-            first[first[c.node] + c.left] = first[c.node] + c.left
-            nodes[c.node] = c.left
-    placed = rows.select("doc_id", "size", "text_crc32", "unit", F.col("node").alias("shard"))
+        levels.append([(c.node, c.dim, c.key, c.part, c.node + c.left) for c in cuts])
+        rows = _descend(rows, levels[-1])
+        for c in cuts:
+            nodes[c.node + c.left], nodes[c.node] = nodes[c.node] - c.left, c.left
+    return levels
+
+
+def _descend(rows: DataFrame, level: list[tuple]) -> DataFrame:
+    at = _rows(rows.sparkSession, [(n, *rest) for n, *rest in level], "of int, dim int, cut long, part long, right int")
+    key = F.element_at("keys", F.col("dim") + 1)
+    goes_right = (key > F.col("cut")) | ((key == F.col("cut")) & (F.col("unit") >= F.col("part")))
+    return rows.join(F.broadcast(at), F.col("node") == F.col("of"), "left").select(  # one row per tree node
+        *(c for c in rows.columns if c != "node"), F.when(goes_right, F.col("right")).otherwise(F.col("node")).alias("node"))
+
+
+def assign(points: DataFrame, levels: list[list[tuple]]) -> DataFrame:
+    """``points`` with their ``node``, the number of the shard."""
+    rows = points.withColumn("node", F.lit(0))
+    for level in levels:
+        rows = _descend(rows, level)
+    return rows
+
+
+def _shards_for(points: DataFrame, target_bytes: int) -> int:
+    return max(1, math.ceil((points.agg(F.sum("size")).first()[0] or 0) / target_bytes))
+
+
+def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, make=dimensions) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot.
+
+    The tree is split until its leaves reach ``target_bytes`` (or there are ``shards`` leaves).
+    """
+    points = materialise(docs.select(*_point(make)))
+    levels = fit_tree(points, len(make(F.lit(""))), shards or _shards_for(points, target_bytes))
+    placed = assign(points, levels).select("doc_id", "size", "text_crc32", "unit", F.col("node").alias("shard"))
     return number_rows(placed, ["shard"], ["doc_id", "unit"], "slot").drop("unit")
+
+
+def sharded_rows(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, make=dimensions) -> DataFrame:
+    """The rows of ``docs`` with all their columns and, last, their ``shard``."""
+    points = materialise(docs.select(*_point(make)))
+    levels = fit_tree(points, len(make(F.lit(""))), shards or _shards_for(points, target_bytes))
+    whole = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), *_point(make))
+    return assign(whole, levels).select("row.*", F.col("node").alias("shard"))

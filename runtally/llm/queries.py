@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runtally.llm import exact_dedup, kd_shards, source_mix, url_templates
+from runtally.llm import (
+    decontaminate, exact_dedup, kd_shards, ordinal_quality, quote_threads, simhash_vptree, source_mix, suffix_dedup,
+    token_files, url_templates,
+)
 from runtally.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +22,9 @@ URL_RULES = [
     ("block", "net/es/"), ("block", "net/fr/"),
 ]
 SHARDS = 8
+SIMHASH_WIDTH = 3
+SIMHASH_BITS = 2
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def register(name: str, sql: str | None = None):
@@ -53,8 +59,46 @@ def op3(spark, sf):
     return source_mix.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op4_ordinal_quality")
+def op4(spark, sf):
+    docs = table(spark, sf, "documents")
+    return ordinal_quality.score(docs, ordinal_quality.train(docs, table(spark, sf, "labels")))
+
+
 @register("op5_kd_shards")
 def op5(spark, sf):
     out = kd_shards.kd_shards(table(spark, sf, "documents"), shards=SHARDS)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                       "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op6_simhash_vptree")
+def op6(spark, sf):
+    out = simhash_vptree.simhash_groups(table(spark, sf, "documents"), SIMHASH_WIDTH, SIMHASH_BITS)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op7_suffix_dedup")
+def op7(spark, sf):
+    return suffix_dedup.suffix_dedup(table(spark, sf, "documents"))
+
+
+@register("op8_decontaminate")
+def op8(spark, sf):
+    out = decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    n_hit = F.size("hits").cast("long")
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@register("op9_token_files")
+def op9(spark, sf):
+    import public_tokenizers
+
+    manifest = token_files.write_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+    return token_files.read_tokens(manifest)
+
+
+@register("op10_quote_threads")
+def op10(spark, sf):
+    return quote_threads.reply_order(table(spark, sf, "conversations"))

@@ -89,11 +89,14 @@ def _edge(rows: DataFrame, plan: DataFrame, bucket: Column) -> DataFrame:
     return _boundary(sums.join(needs, sums["source"].eqNullSafe(needs["s"])).drop("s"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken."""
-    rows = materialise(docs.select(
+def sized_rows(docs: DataFrame) -> DataFrame:
+    return materialise(docs.select(
         F.col("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"),
         row_hash(F.col("doc_id")).alias("hash")))
+
+
+def thresholds(rows: DataFrame) -> DataFrame:
+    """s (source), source_size, target, copies, upto: a row is taken ``copies`` times, once more if its hash is at most ``upto``."""
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     plan = plan.withColumn("copies", F.least(whole, F.lit(REPEATS)))
@@ -124,12 +127,28 @@ def mix(docs: DataFrame) -> DataFrame:
     full = plan.join(cut, plan["source"].eqNullSafe(cut["s"]), "left").select(
         F.col("source").alias("s"), "source_size", "target", "copies",
         F.coalesce("upto", F.when(F.col("need") > 0, F.lit((1 << HASH_BITS) - 1)).otherwise(F.lit(-1))).alias("upto"))
-    full = materialise(full)
+    return materialise(full)
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken."""
+    rows = sized_rows(docs)
+    full = thresholds(rows)
     taken = F.col("size") * (F.col("copies") + (F.col("hash") <= F.col("upto")).cast("long"))
     return rows.join(full, rows["source"].eqNullSafe(full["s"])).select(
         "doc_id", "source", "size", "source_size", "target", F.least(taken, REPEATS * F.col("size")).alias("taken"))
 
 
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
+    full = thresholds(sized_rows(docs)).select("s", "copies", "upto")
+    whole = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
+                        F.col("source").cast("string").alias("of"), row_hash(F.col("doc_id")).alias("hash"))
+    times = F.least(F.col("copies") + (F.col("hash") <= F.col("upto")).cast("long"), F.lit(REPEATS)).cast("int")
+    taken = whole.join(full, F.col("of").eqNullSafe(F.col("s"))).select("row", F.explode(F.array_repeat(F.lit(0), times)))
+    return taken.select("row.*")
+
+
 def mix_sql(table: str = "documents") -> str:
     """The same result as DuckDB SQL: running sums by hash instead of histograms."""
     weight = " ".join(f"WHEN {k} THEN {float(w)}" for k, w in enumerate(WEIGHTS))
