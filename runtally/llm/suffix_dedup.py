@@ -19,7 +19,7 @@ starts in a document with a smaller doc_id.
 
 Tasks sort and settle their own pieces before the shuffle, so of a passage that
 many documents share one copy leaves each task, whatever its share of the rows.
-Pieces travel in compressed blocks. Comparisons are of bytes, never of hashes.
+Pieces and texts travel in compressed blocks. Comparisons are of bytes, never of hashes.
 
 Defined cases: a null text is empty; texts under ``SPAN`` bytes lose nothing; rows
 with equal doc_ids never remove anything from each other; a null doc_id is larger
@@ -48,6 +48,7 @@ CHUNK = 4 << 20  # bytes of text handled at once
 BUCKET = 24 << 20  # bytes of pieces in a bucket
 SPREAD = 3.7  # bytes of pieces for a byte of text, about
 TEXTS = 16 << 20  # bytes of text in a bucket of documents
+LEVEL = 5  # of compression
 SAMPLE = 4 << 20  # bytes of text at least that give the splitters
 LAST = (1 << 63) - 1  # stands for a null doc_id
 WORDS = (0, 8, 16, 24, 32, 40, SPAN - 8)  # eight-byte words that cover a window
@@ -131,24 +132,31 @@ def _piece_words(w: np.ndarray, start: np.ndarray, count: np.ndarray, anchor: np
 # ------------------------------------------------------------ blocks
 
 
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Differences: small numbers, where a column ascends."""
+    return np.diff(a.astype("<i8"), prepend=0)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     head = np.array([len(a) for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
 def _unpack(block: bytes, kinds: str) -> list[np.ndarray]:
+    """The arrays of a block; 64-bit columns are summed up again."""
     raw = zstandard.ZstdDecompressor().decompress(block)
     types = kinds.split()
     at, out = 8 * len(types), []
     for n, t in zip(np.frombuffer(raw, "<i8", len(types)).tolist(), types):
-        out.append(np.frombuffer(raw, t, n, at))
+        column = np.frombuffer(raw, t, n, at)
+        out.append(np.cumsum(column) if t == "<i8" else column)
         at += n * np.dtype(t).itemsize
     return out
 
 
 # A block: pieces (doc_id, anchor's offset, windows, bytes), where they stand
 # (piece, document's key, place), and stretches already settled (key, place, windows).
-BLOCK = "<i8 u1 u1 u1 <u4 <i8 <i8 <i8 <i8 u1"
+BLOCK = "<i8 u1 u1 u1 <i8 <i8 <i8 <i8 <i8 u1"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, int, bytes]]]:
@@ -195,19 +203,23 @@ def chunk_blocks(part: list[tuple[int, int, int, bytes]], splitters: np.ndarray)
     run = np.empty(len(order), np.int64)
     run[order] = np.cumsum(new) - 1
     bucket = np.searchsorted(splitters, w[anchor].astype(np.uint64), "right")
+    live = np.flatnonzero(~settled)
+    speaks = np.empty(len(order), np.int64)  # of each run the first piece that is still open
+    speaks[run[live][::-1]] = live[::-1]
     out = []
-    by = np.lexsort((run, bucket))
+    by = np.argsort(bucket, kind="stable")  # in a bucket by document and place, which packs well
     edges = np.flatnonzero(np.concatenate(([True], np.diff(bucket[by]) != 0, [True]))) if len(by) else []
     for a, b in zip(edges[:-1], edges[1:]):
         mine = by[a:b]
         done, live = mine[settled[mine]], mine[~settled[mine]]
-        one = np.concatenate(([True], np.diff(run[live]) != 0)) if len(live) else np.zeros(0, bool)
-        u = live[one]  # one piece of each run
+        first = speaks[run[live]]
+        u = live[first == live]  # one piece of each run
         size = count[u] + SPAN - 1
         from_ = np.repeat(start[u] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
         out.append((int(bucket[by[a]]), _pack(
-            doc[u], (anchor[u] - start[u]).astype(np.uint8), count[u].astype(np.uint8), buf[from_],
-            (np.cumsum(one) - 1).astype("<u4"), key[live], place[live], key[done], place[done], count[done].astype(np.uint8))))
+            _steps(doc[u]), (anchor[u] - start[u]).astype(np.uint8), count[u].astype(np.uint8), buf[from_],
+            _steps(np.searchsorted(u, first)), _steps(key[live]), _steps(place[live]),
+            _steps(key[done]), _steps(place[done]), count[done].astype(np.uint8))))
     return out
 
 
@@ -220,7 +232,7 @@ def settle(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc, lead, count, data = (np.concatenate([g[k] for g in got]) for k in range(4))
     lead, count = lead.astype(np.int64), count.astype(np.int64)
     shift = np.cumsum([0, *(len(g[0]) for g in got)])
-    piece = np.concatenate([g[4].astype(np.int64) + s for g, s in zip(got, shift)])
+    piece = np.concatenate([g[4] + s for g, s in zip(got, shift)])
     key, place = np.concatenate([g[5] for g in got]), np.concatenate([g[6] for g in got])
     found = [[np.concatenate([g[k] for g in got])] for k in (7, 8, 9)]
     del got
@@ -291,6 +303,41 @@ def cut(raw: bytes, place: np.ndarray, windows: np.ndarray) -> tuple[int, int, s
 # ------------------------------------------------------------ the operator
 
 
+# Documents on their way to their bucket: doc_id, whether it is known, key, bytes.
+TEXT = "<i8 u1 <i8 <i8 u1"
+
+
+def _packer(into: int):
+    """Deals rows to ``into`` buckets by key, as compressed blocks."""
+    def blocks(held: list) -> pa.RecordBatch:
+        key = np.array([h[1] for h in held], np.int64)
+        size = np.array([len(h[2]) for h in held], np.int64)
+        to = key % into
+        by = np.lexsort((key, to))
+        edges = np.flatnonzero(np.concatenate(([True], np.diff(to[by]) != 0, [True])))
+        out = []
+        for a, b in zip(edges[:-1], edges[1:]):
+            k = by[a:b]
+            raw = np.frombuffer(b"".join(held[x][2] for x in k), np.uint8)
+            out.append(_pack(_steps(np.array([held[x][0] or 0 for x in k], np.int64)), np.array([held[x][0] is not None for x in k], np.uint8),
+                             _steps(key[k]), _steps(size[k]), raw))
+        return pa.RecordBatch.from_arrays([pa.array(to[by[edges[:-1]]], pa.int64()), pa.array(out, pa.binary())], ["dealt", "block"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, have = [], 0
+        for b in batches:
+            for doc, key, text in zip(b.column("doc_id").to_pylist(), b.column("key").to_pylist(), b.column("text")):
+                held.append((doc, key, text.as_buffer().to_pybytes()))
+                have += len(held[-1][2])
+                if have >= 4 * CHUNK:
+                    yield blocks(held)
+                    held, have = [], 0
+        if held:
+            yield blocks(held)
+
+    return task
+
+
 def _cutter(names: list[str]):
     def task(docs: pa.Table, blocks: pa.Table) -> pa.Table:
         got = [_unpack(b, "<i8 <i8 u1") for b in blocks.column("block").to_pylist()]
@@ -298,10 +345,14 @@ def _cutter(names: list[str]):
         by = np.argsort(key, kind="stable")
         key, place, windows = key[by], place[by], windows[by]
         out = []
-        for doc, k, text in zip(docs.column("doc_id").to_pylist(), docs.column("key").to_pylist(), docs.column("text")):
-            raw = (text.as_py() or "").encode()
-            a, b = np.searchsorted(key, k, "left"), np.searchsorted(key, k, "right")
-            out.append((doc, len(raw), *cut(raw, place[a:b], windows[a:b])))
+        for block in docs.column("block"):
+            doc, known, keys, sizes, data = _unpack(block.as_py(), TEXT)
+            data, at = data.tobytes(), 0
+            low, high = np.searchsorted(key, keys, "left").tolist(), np.searchsorted(key, keys, "right").tolist()
+            for k, size in enumerate(sizes.tolist()):
+                a, b = low[k], high[k]
+                out.append((int(doc[k]) if known[k] else None, size, *cut(data[at:at + size], place[a:b], windows[a:b])))
+                at += size
         cols = list(zip(*out)) if out else [[]] * 5
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
@@ -314,8 +365,10 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))  # equal rows share one and are cut alike
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # rows are known by their doc_id; where one is null or repeated, by a hash of id and text (equal rows are cut alike)
+    unclear = rows.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    rows = rows.withColumn("key", F.col("doc_id") if unclear.isEmpty() else F.xxhash64("doc_id", "text"))
     buckets = max(1, math.ceil(total * SPREAD / BUCKET))
     splitters = spark.sparkContext.broadcast(_splitters(rows, total, buckets))
     into = max(1, math.ceil(total / TEXTS))
@@ -328,14 +381,14 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         key, place, windows = settle(group["block"].tolist())
         to = key % into
-        by = np.argsort(to, kind="stable")
+        by = np.lexsort((place, key, to))
         edges = np.flatnonzero(np.concatenate(([True], np.diff(to[by]) != 0, [True]))) if len(by) else np.zeros(1, int)
-        return pd.DataFrame([(int(to[by[a]]), _pack(key[by[a:b]], place[by[a:b]], windows[by[a:b]])) for a, b in zip(edges[:-1], edges[1:])],
+        return pd.DataFrame([(int(to[by[a]]), _pack(_steps(key[by[a:b]]), _steps(place[by[a:b]]), windows[by[a:b]])) for a, b in zip(edges[:-1], edges[1:])],
                             columns=["dealt", "block"])
 
     made = rows.mapInArrow(make, "bucket int, block binary")
     settled = made.groupBy("bucket").applyInPandas(sort, "dealt long, block binary")
-    dealt = rows.withColumn("dealt", F.pmod("key", F.lit(into)))
+    dealt = rows.mapInArrow(_packer(into), "dealt long, block binary")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     return dealt.groupBy("dealt").cogroup(settled.groupBy("dealt")).applyInArrow(
         _cutter(names), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
