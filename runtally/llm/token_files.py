@@ -28,8 +28,10 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +45,8 @@ from pyspark.sql import Window
 from runtally.llm.common import materialise, shared_folder, ship
 
 END_ID = 0
-REMEMBER = 1 << 18  # pieces whose ids a worker keeps
+REMEMBER = 1 << 20  # pieces whose ids a worker keeps, about 150 bytes each
+LONG = 64  # characters of the longest piece that is kept
 # White space that str and the pre-tokeniser may see differently, or the start of a special token.
 RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]|<\\|")
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
@@ -58,10 +61,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)  # the fast one keeps no offsets
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        packed = [array(code, e.ids) for e in self.batch(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for p in packed:
+                p.byteswap()
+        return [p.tobytes() for p in packed]
 
     def encode(self, text: str) -> bytes:
         if RARE.search(text):
@@ -69,12 +78,13 @@ class Encoder:
         pieces = PIECE.findall(text)
         known = self.known
         new = list({p for p in pieces if p not in known})
-        if new:
-            if len(known) + len(new) > REMEMBER:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, self._ids(new)))
-        return b"".join([known[p] for p in pieces])
+        if not new:
+            return b"".join([known[p] for p in pieces])
+        ids = self._ids(new)
+        if len(known) + len(new) <= REMEMBER:  # a full memory stays as it is: what comes first is what comes often
+            known.update((p, i) for p, i in zip(new, ids) if len(p) <= LONG)
+        here = dict(zip(new, ids))
+        return b"".join([known.get(p) or here[p] for p in pieces])
 
 
 @functools.lru_cache(maxsize=2)
