@@ -4,9 +4,11 @@
    shingles are ``width`` words joined by a space (a shorter text is one shingle).
    Each shingle is hashed by XXH64; a bit of the fingerprint is set if it is set
    in over half of the hashes, repeats included. No words: fingerprint zero.
-2. *Tree.* Distinct fingerprints are cut into shards of at most ``LEAF``. Each
-   node takes one of its fingerprints as vantage point; a histogram of the 65
-   possible distances gives the radius whose larger side is smallest. Triangle
+2. *Tree.* Distinct fingerprints are cut into shards of about ``LEAF``. Each node
+   takes one of its fingerprints as vantage point; the counts of the 65 possible
+   distances give the radius whose larger side is smallest. A bounded sample
+   shapes the first tree, every fingerprint is placed in it, and leaves that came
+   out too large are cut on by their own counts. Triangle
    bound: if |a, b| <= r then their distances to the vantage point differ by at
    most r. So the near side holds distances up to the radius, the far side those
    from radius - r + 1 on; the overlap is stored in both, and every linked pair
@@ -41,8 +43,10 @@ from pyspark.sql import Window
 
 from runtally.llm.common import materialise
 
-LEAF = 8192
-BLOCK = 512  # rows compared with a whole leaf at once
+LEAF = 8192  # fingerprints of a leaf, about
+SAMPLE = 1 << 14  # fingerprints that shape the first tree
+LEAST_SAMPLE = 64  # of them in a node that is still cut
+BLOCK = 1 << 21  # pairs compared at once
 SEED = 42
 CHUNK = 1 << 16  # hashes counted at once
 
@@ -86,34 +90,100 @@ def fingerprints(docs: DataFrame, width: int) -> DataFrame:
 # ------------------------------------------------------------ the tree
 
 
+def grow(sample: np.ndarray, total: int, reach: int, leaf: int) -> list[tuple[int, int, int, int]]:
+    """A tree for ``total`` fingerprints from a sample: (vantage point, radius, near node, far node), leaves as ~number.
+
+    Node 0 is the root; a branch ends where its share of ``total`` fits a leaf.
+    """
+    nodes: list = []
+    leaves = 0
+
+    def branch(inside: np.ndarray) -> int:
+        nonlocal leaves
+        cut = None
+        if len(inside) * total > leaf * len(sample) and len(inside) >= LEAST_SAMPLE:
+            d = np.bitwise_count(inside.view(np.uint64) ^ inside.view(np.uint64)[0]).astype(np.int64)
+            near = np.cumsum(np.bincount(d, minlength=65))
+            far = len(d) - np.concatenate((np.zeros(reach), near[:65 - reach]))  # distances from radius - reach + 1 on
+            worse = np.maximum(near, far)
+            cut = int(np.argmin(worse)) if worse.min() < len(d) else None
+        if cut is None:
+            leaves += 1
+            return ~(leaves - 1)
+        at = len(nodes)
+        nodes.append(None)
+        nodes[at] = (int(inside[0]), cut, branch(inside[d <= cut]), branch(inside[d >= cut - reach + 1]))
+        return at
+
+    branch(sample)
+    return nodes
+
+
+def place(fps: np.ndarray, nodes: list[tuple[int, int, int, int]], reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """(leaf, place in ``fps``): every leaf that each fingerprint belongs to."""
+    if not nodes:
+        return np.zeros(len(fps), np.int64), np.arange(len(fps))
+    found, todo = [], [(0, np.arange(len(fps)))]
+    while todo:
+        node, at = todo.pop()
+        if node < 0:
+            found.append((np.full(len(at), ~node), at))
+            continue
+        point, radius, near, far = nodes[node]
+        d = np.bitwise_count(fps[at].view(np.uint64) ^ np.array(point, np.int64).view(np.uint64))
+        todo += [(near, at[d <= radius]), (far, at[d >= radius - reach + 1])]
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _planted(fps: DataFrame, reach: int, leaf: int) -> DataFrame:
+    """(node, fp) by one tree, grown from at most ``SAMPLE`` fingerprints (those with the smallest hash)."""
+    total = fps.count()
+    nodes = []
+    if total > leaf:
+        some = fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
+        nodes = grow(np.array([r.fp for r in some], np.int64), total, reach, leaf)
+    tree = fps.sparkSession.sparkContext.broadcast(nodes)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column("fp").to_numpy()
+            node, at = place(own, tree.value, reach)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(own[at])], ["node", "fp"])
+
+    return fps.select("fp").mapInArrow(task, "node long, fp long")
+
+
 def _leaves(fps: DataFrame, reach: int, leaf: int) -> DataFrame:
-    """(node, fp): every pair of fingerprints within ``reach`` bits shares a node of at most ``leaf``, where a cut exists."""
-    rows = materialise(fps.select(F.lit(0).cast("long").alias("node"), "fp"))
+    """(node, fp): every pair of fingerprints within ``reach`` bits shares a node.
+
+    Nodes of the first tree that still hold over ``4 * leaf`` fingerprints (large
+    tables, or dense ones) are cut on, a level a round, by the same rule; a node
+    is left as it is where no cut separates anything.
+    """
+    rows = materialise(_planted(fps, reach, leaf))
     ready = None
     for level in range(1, 64):
         # one row per node; the vantage point is the fingerprint with the smallest hash at this level
-        nodes = materialise(rows.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("point")))
-        large = nodes.filter(F.col("n") > leaf)
+        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min_by("fp", F.xxhash64("fp", F.lit(level))).alias("point"))
+        large = materialise(nodes.filter(F.col("n") > 4 * leaf))
         if large.isEmpty():
             break
         known = rows.join(large, "node").withColumn("d", F.bit_count(F.col("fp").bitwiseXOR(F.col("point"))))
-        hist = known.groupBy("node", "n", "d").agg(F.count(F.lit(1)).alias("c"))
-        by = Window.partitionBy("node").orderBy("d")
+        hist = known.groupBy("node", "n", "point", "d").agg(F.count(F.lit(1)).alias("c"))
+        by = Window.partitionBy("node").orderBy("d")  # 65 rows a node at most
         hist = (hist.withColumn("near", F.sum("c").over(by.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("far", F.col("n") - F.coalesce(F.sum("c").over(by.rangeBetween(Window.unboundedPreceding, -reach)), F.lit(0))))
-        # radius d: near side d' <= d, far side d' >= d - reach + 1
-        cuts = hist.withColumn("worse", F.greatest("near", "far")).groupBy("node").agg(
-            F.min_by("d", F.struct("worse", "d")).alias("radius"), F.min("worse").alias("worse"), F.first("n").alias("n"))
-        cuts = materialise(cuts)
-        cuts = cuts.withColumn("radius", F.when(F.col("worse") < F.col("n"), F.col("radius"))).select("node", "radius")
-        parent = rows.join(nodes.select("node", "n", "point"), "node").join(cuts, "node", "left")
-        d = F.bit_count(F.col("fp").bitwiseXOR(F.col("point")))
-        done = parent.filter(F.col("radius").isNull()).select("node", "fp")  # small enough, or no cut helps
+        cuts = hist.withColumn("worse", F.greatest("near", "far")).groupBy("node", "n", "point").agg(
+            F.min_by("d", F.struct("worse", "d")).alias("radius"), F.min("worse").alias("worse"))
+        cuts = materialise(cuts.filter("worse < n").select("node", "point", "radius"))
+        done = rows.join(cuts.select("node"), "node", "left_anti")  # small enough, or no cut helps
         ready = done if ready is None else ready.unionByName(done)
+        if cuts.isEmpty():
+            return ready
+        d = F.bit_count(F.col("fp").bitwiseXOR(F.col("point")))
         sides = F.array_compact(F.array(
             F.when(d <= F.col("radius"), F.lit(0)), F.when(d >= F.col("radius") - reach + 1, F.lit(1))))
-        rows = parent.filter(F.col("radius").isNotNull()).select(F.explode(sides).alias("side"), "node", "fp")
+        rows = rows.join(cuts, "node").select(F.explode(sides).alias("side"), "node", "fp")
         rows = materialise(rows.select(F.xxhash64("node", "side", F.lit(level)).alias("node"), "fp"))
     return rows if ready is None else rows.unionByName(ready)
 
@@ -123,8 +193,9 @@ def leaf_links(fps: np.ndarray, reach: int) -> list[tuple[int, int]]:
     n = len(fps)
     u = fps.view(np.uint64)
     root = np.arange(n)  # flat: always the smallest member's place
-    for at in range(0, n, BLOCK):
-        close = np.bitwise_count(u[at:at + BLOCK, None] ^ u[None, :]) <= reach
+    step = max(1, BLOCK // max(1, n))
+    for at in range(0, n, step):
+        close = np.bitwise_count(u[at:at + step, None] ^ u[None, :]) <= reach
         for k in np.flatnonzero(close.sum(axis=1) > 1):
             roots = np.unique(root[close[k]])
             if len(roots) > 1:
