@@ -15,8 +15,8 @@ the files before it. Reading maps both files into memory, so a document costs
 the pages it covers.
 
 Encoding cuts a text before white space that follows a visible character, where
-the pre-tokeniser cuts in any case, and remembers the ids of the pieces (bounded
-memory); texts with rare white space or with the start of a special token are
+the pre-tokeniser cuts in any case, gives the words of each piece to the library's
+model, and remembers the ids of the pieces (bounded memory); texts with rare white space or with the start of a special token are
 encoded as they are. Ids are those of ``Tokenizer.encode`` on the whole text.
 
 Defined cases: a null text is an empty one (the end id alone); a null doc_id
@@ -27,6 +27,7 @@ empty table gives no files and an empty result; only ``doc_id`` and ``text`` are
 from __future__ import annotations
 
 import functools
+import json
 import re
 import sys
 import uuid
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -50,40 +52,69 @@ LONG = 64  # characters of the longest piece that is kept
 # White space that str and the pre-tokeniser may see differently, or the start of a special token.
 RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]|<\\|")
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
+# Fixed value: the public pattern of the byte-level pre-tokeniser.
+WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 RECORD = 4  # 64-bit fields of an index record
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte -> the letter that stands for it in a byte-level vocabulary: printable bytes for themselves, the rest from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class Encoder:
-    """Ids of whole texts as packed little-endian bytes."""
+    """Ids of whole texts as packed little-endian bytes.
+
+    A byte-level BPE file without normaliser is used through its model, word by
+    word of its pre-tokeniser; any other file through ``encode`` on the whole text.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)  # the fast one keeps no offsets
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        setup = json.loads(self.tokenizer.to_str())
+        pre, model = setup.get("pre_tokenizer") or {}, setup.get("model") or {}
+        self.by_word = (model.get("type") == "BPE" and not model.get("dropout") and setup.get("normalizer") is None
+                        and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True))
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        code = "H" if self.dtype.itemsize == 2 else "I"
-        packed = [array(code, e.ids) for e in self.batch(texts, add_special_tokens=False)]
+    def _packed(self, ids: list[int]) -> bytes:
+        a = array(self.code, ids)
         if sys.byteorder == "big":
-            for p in packed:
-                p.byteswap()
-        return [p.tobytes() for p in packed]
+            a.byteswap()
+        return a.tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return self._packed([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))])
+
+    def _piece(self, piece: str) -> bytes:
+        spaced = piece[0] == " "
+        body = piece[1:] if spaced else piece
+        if body.isalpha():  # one word, as most pieces are
+            if body.isascii():
+                return self._packed([t.id for t in self.model.tokenize(self.letters[32] + body if spaced else body)])
+            return self._word(piece)
+        known = self.known
+        return b"".join([known.get(w) or self._word(w) for w in WORD.findall(piece)])
 
     def encode(self, text: str) -> bytes:
-        if RARE.search(text):
-            return self._ids([text])[0]
+        if not self.by_word or RARE.search(text):
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         pieces = PIECE.findall(text)
         known = self.known
-        new = list({p for p in pieces if p not in known})
+        new = {p for p in pieces if p not in known}
         if not new:
             return b"".join([known[p] for p in pieces])
-        ids = self._ids(new)
+        here = {p: self._piece(p) for p in new}
         if len(known) + len(new) <= REMEMBER:  # a full memory stays as it is: what comes first is what comes often
-            known.update((p, i) for p, i in zip(new, ids) if len(p) <= LONG)
-        here = dict(zip(new, ids))
+            known.update((p, i) for p, i in here.items() if len(p) <= LONG)
         return b"".join([known.get(p) or here[p] for p in pieces])
 
 
