@@ -45,7 +45,8 @@ from runtally.llm.common import ship
 SPAN = 50
 GRAM = 12
 CHUNK = 4 << 20  # bytes of text handled at once
-BUCKET = 24 << 20  # bytes of pieces in a bucket
+BUCKET = 16 << 20  # bytes of pieces in a bucket
+WINDOWS = 1 << 20  # windows compared at once
 SPREAD = 3.7  # bytes of pieces for a byte of text, about
 TEXTS = 16 << 20  # bytes of text in a bucket of documents
 LEVEL = 5  # of compression
@@ -262,20 +263,26 @@ def settle(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order, new = sort_runs(iter((lambda k: w[anchor[live[k]]], lambda k: w[anchor[live[k]] + GRAM - 8])), len(live))
     several = ~new
     several[:-1] |= ~new[1:]
-    rows = np.sort(live[order[several]])
-    if len(rows):
-        n = count[rows]
-        which = np.repeat(np.arange(len(rows)), n)
+    rows, group = live[order[several]], np.cumsum(new)[several]
+    ends = np.cumsum(count[rows])  # windows so far; anchors are taken together in parts of about WINDOWS
+    at = 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + WINDOWS)))
+        to = int(np.searchsorted(group, group[to - 1], "right"))
+        part, n = rows[at:to], count[rows[at:to]]
+        which = np.repeat(np.arange(len(part)), n)
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        at = start[rows][which] + step
-        order, new = sort_runs((lambda k, d=d: w[at[k] + d] for d in WORDS), len(at))
-        mine = doc[rows][which]
-        hit = np.flatnonzero(mine > _least(order, new, mine))
+        begin = start[part][which] + step
+        # equal windows have their anchor at the same distance
+        near = group[at:to][which] * 64 + anchor[part][which] - begin
+        by, fresh = sort_runs((lambda k, d=d: near[k] if d is None else w[begin[k] + d] for d in (None, *WORDS)), len(begin))
+        mine = doc[part][which]
+        hit = np.flatnonzero(mine > _least(by, fresh, mine))
         if len(hit):
-            cut = np.concatenate(([True], (np.diff(hit) != 1) | (np.diff(which[hit]) != 0)))
-            begin = hit[cut]
-            length = np.diff(np.concatenate((np.flatnonzero(cut), [len(hit)])))
-            cover(rows[which[begin]], step[begin], length)
+            cut_at = np.concatenate(([True], (np.diff(hit) != 1) | (np.diff(which[hit]) != 0)))
+            first_hit = hit[cut_at]
+            cover(part[which[first_hit]], step[first_hit], np.diff(np.concatenate((np.flatnonzero(cut_at), [len(hit)]))))
+        at = to
     return tuple(np.concatenate(f) for f in found)
 
 
