@@ -73,8 +73,6 @@ class RunConfig:
     ``status_date_mode`` "reference" maps today onto 1976 with ``doy - 1``
                         for every species; "aligned" uses the species
                         calendar.
-    ``broadcast_max_rows`` upper bound for broadcasting a side whose row
-                        count is checked at plan time.
     """
 
     as_of: dt.date = field(default_factory=lambda: dt.date(2001, 3, 15))
@@ -87,7 +85,6 @@ class RunConfig:
     ampm: str = "parse"
     dummy_offset_fix: bool = False
     status_date_mode: str = "reference"
-    broadcast_max_rows: int = 5_000_000
 
     def current_spawn_year(self, species: str) -> int | None:
         if species not in self.species:
@@ -99,7 +96,8 @@ class RunConfig:
 
 
 # Parameters the registered queries use on the driver tables: the fixture's
-# detections run from 1995 to 2001, so "today" is in 2001 and the comparison
+# detections run from 1994 to 2001 (all dates move back so that the last order
+# falls on the as-of date), so "today" is in 2001 and the comparison
 # floor shifts from 2017 onto 1994.
 FIXTURE_CONFIG = RunConfig(as_of=dt.date(2001, 3, 15), floor_year=1994)
 # Second fixture point: after mid-year, the mid-year species is a year ahead.

@@ -4,7 +4,6 @@ names are arguments, so the domain pipelines are only compositions."""
 from runtally.operators.densify import complete_dates, complete_dates_join, date_grid, zero_fill
 from runtally.operators.ordered import first_by, first_by_where, last_by_where, top1_by_key
 from runtally.operators.relational import (
-    broadcast_bounded,
     flag_members,
     median_min_max,
     pivot_values,
@@ -14,14 +13,13 @@ from runtally.operators.relational import (
 from runtally.operators.running import (
     fill_down,
     group_total,
-    group_total_agg,
     running_total,
     share_of_total,
 )
 
 __all__ = [
-    "broadcast_bounded", "complete_dates", "complete_dates_join", "date_grid", "fill_down", "first_by",
-    "first_by_where", "flag_members", "group_total", "group_total_agg",
+    "complete_dates", "complete_dates_join", "date_grid", "fill_down", "first_by",
+    "first_by_where", "flag_members", "group_total",
     "last_by_where", "median_min_max", "pivot_values", "running_total",
     "share_of_total", "top1_by_key", "union_all", "with_scalar", "zero_fill",
 ]

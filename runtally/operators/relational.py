@@ -8,19 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_bounded(df: DataFrame, proven_max_rows: int | None, limit: int) -> DataFrame:
-    """Hint a broadcast only when the caller can prove the side's size.
-
-    ``proven_max_rows`` is a static bound known from how ``df`` is built
-    (a literal key table, a one-row aggregate). Without a bound, or above
-    ``limit``, no hint is given and AQE decides from the runtime size of the
-    shuffle stage (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
-    """
-    if proven_max_rows is not None and proven_max_rows <= limit:
-        return F.broadcast(df)
-    return df
-
-
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Union ALL by column name; missing columns become NULL when allowed."""
     out = dfs[0]
@@ -43,8 +30,11 @@ def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str) -> Data
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row table to every row (broadcast)."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the columns of a one-row table to every row (scalar subqueries).
+
+    A filter on such a column is pushed down like one on a literal.
+    """
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
 def median_min_max(df: DataFrame, group: Sequence[str], value: str, prefix: dict[str, str]) -> list[Column]:
@@ -66,22 +56,3 @@ def pivot_values(long: DataFrame, key: str, name_col: str, value_col: str, names
     """
     wide = long.groupBy(key).pivot(name_col, list(names)).agg(F.max(value_col))
     return wide.select(key, *[F.col(f"`{k}`").alias(v) for k, v in names.items()])
-
-
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an input that arrives in fewer splits than the cluster
-    can run at once (e.g. one large single-row-group file), so the per-row
-    work after the scan (parsing, derivations) uses every core.
-
-    Decided at plan time from the scan's split count: a large input already
-    has thousands of splits and is left untouched (no extra shuffle). Row
-    order must already be captured in a column (the report ordinal).
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df

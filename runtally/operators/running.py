@@ -54,13 +54,6 @@ def group_total(df: DataFrame, partition: Sequence[str], value: str, out: str) -
     return df.withColumn(out, F.sum(value).over(Window.partitionBy(*partition)))
 
 
-def group_total_agg(df: DataFrame, partition: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    """Group aggregates on every row for large groups: aggregate (partial +
-    final, skew-safe), then join the per-group row back on the keys."""
-    per_group = df.groupBy(*partition).agg(*[c.alias(n) for n, c in aggs.items()])
-    return df.join(per_group, list(partition), "left")
-
-
 def share_of_total(df: DataFrame, part: str, total: str, out: str) -> DataFrame:
     """``part / total`` as double."""
     return df.withColumn(out, F.col(part).cast("double") / F.col(total).cast("double"))

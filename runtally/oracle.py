@@ -32,8 +32,11 @@ def _case(expr: str, mapping: dict, default: str | None) -> str:
 
 
 def _cur_sy(species: str = "species", cfg: C.RunConfig = CFG) -> str:
-    arms = " ".join(f"WHEN {_q(s)} THEN {cfg.current_spawn_year(s)}" for s in cfg.species)
-    return f"CAST(CASE {species} {arms} END AS INTEGER)"
+    day = f"DATE '{cfg.as_of.isoformat()}'"
+    return (
+        f"CAST(CASE WHEN {species} = 'Steelhead' AND dayofyear({day}) >= 183 THEN year({day}) + 1 "
+        f"WHEN {species} IN {_in(cfg.species)} THEN year({day}) END AS INTEGER)"
+    )
 
 
 def _max_dummy(species: str = "species") -> str:
@@ -66,7 +69,6 @@ def _elapsed(later: str, earlier: str) -> str:
     )
 
 
-AS_OF_NEXT = "TIMESTAMP '" + (CFG.as_of.fromordinal(CFG.as_of.toordinal() + 1)).isoformat() + " 00:00:00'"
 AS_OF = f"DATE '{CFG.as_of.isoformat()}'"
 FLOOR = CFG.floor_year
 FINAL = _in(C.FINAL_ENTRY_SITES)
@@ -93,14 +95,6 @@ SELECT pit_id, species, rear_type, CAST(NULL AS VARCHAR) AS run_type, release_si
        length_mm, ordinal
 FROM det0"""
 
-CTES["ds"] = f"""
-SELECT 'T' || CAST(o.o_custkey AS VARCHAR) AS pit_id,
-       {_case('l.l_returnflag', _token_map(FX.RETURNFLAG_SITE), FX.OTHER_DOWNSTREAM_SITE.split(' ')[0])} AS ds_site,
-       l.l_shipdate AS ds_datetime,
-       l.l_orderkey * 10 + l.l_linenumber AS ord_line, l.l_partkey AS ord_part, l.l_suppkey AS ord_supp
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE l.l_shipdate < TIMESTAMP '2000-01-01 00:00:00'"""
-
 CTES["ds_time"] = """
 SELECT pit_id, max(ds_datetime) AS latest_downstream FROM ds GROUP BY pit_id
 HAVING max(ds_datetime) IS NOT NULL"""
@@ -314,7 +308,6 @@ _KNOWN = _in(CFG.species)
 
 def config_ctes(cfg: C.RunConfig) -> dict[str, str]:
     """The CTEs that depend on the run parameters (as-of date, floor year)."""
-    as_of_next = "TIMESTAMP '" + cfg.as_of.fromordinal(cfg.as_of.toordinal() + 1).isoformat() + " 00:00:00'"
     as_of = f"DATE '{cfg.as_of.isoformat()}'"
     doy = cfg.as_of.timetuple().tm_yday
     known = _in(cfg.species)
@@ -331,10 +324,16 @@ SELECT 'T' || CAST(o.o_custkey AS VARCHAR) AS pit_id,
        {_case('o.o_orderstatus', FX.STATUS_STAGE, None)} AS release_lifestage,
        DATE '1994-01-01' + CAST(o.o_custkey * 37 % 1500 AS INTEGER) AS release_datetime,
        {_case('substr(o.o_orderpriority, 1, 1)', _token_map(FX.PRIORITY_SITE), FX.OTHER_SITE.split(' ')[0])} AS observation_sitecode,
-       o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)) + to_minutes(CAST(o.o_orderkey % 60 AS INTEGER)) AS observation_datetime,
+       o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INTEGER)) + to_minutes(CAST(o.o_orderkey % 60 AS INTEGER)) - to_days({FX.shift_days(cfg)}) AS observation_datetime,
        CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE o.o_totalprice % 900 + 100 END AS length_mm
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE o.o_orderdate < {as_of_next}""",
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
+        "ds": f"""
+SELECT 'T' || CAST(o.o_custkey AS VARCHAR) AS pit_id,
+       {_case('l.l_returnflag', _token_map(FX.RETURNFLAG_SITE), FX.OTHER_DOWNSTREAM_SITE.split(' ')[0])} AS ds_site,
+       l.l_shipdate + to_hours(CAST((l.l_orderkey + l.l_linenumber) % 24 AS INTEGER)) + to_minutes(CAST(l.l_partkey % 60 AS INTEGER))
+         - to_days(CAST({FX.shift_days(cfg)} + o.o_custkey % {FX.DOWNSTREAM_STEPS} * {FX.DOWNSTREAM_STEP_DAYS} AS INTEGER)) AS ds_datetime,
+       l.l_orderkey * 10 + l.l_linenumber AS ord_line, l.l_partkey AS ord_part, l.l_suppkey AS ord_supp
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
         "cur_det": f"""
 SELECT * FROM (SELECT *, {cur} AS current_sy FROM det) WHERE spawn_year = current_sy""",
         "daily_completed": f"""

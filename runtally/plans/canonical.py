@@ -68,8 +68,8 @@ def current_year_detections(det: DataFrame, cfg: C.RunConfig, with_most_recent:
     The species -> current-year key is a literal CASE (no join). The implied
     ``observation_year`` range is added as a separate conjunct so a table
     partitioned or sorted by observation year prunes files at the scan.
-    ``with_most_recent`` adds the global max spawn year (a one-row aggregate
-    broadcast to every row, never an unpartitioned window).
+    ``with_most_recent`` adds the global max spawn year (a scalar subquery,
+    never an unpartitioned window).
     """
     cur = X.current_spawn_year("species", cfg)
     years = sorted({cfg.current_spawn_year(s) for s in cfg.species} - {None})
@@ -77,7 +77,7 @@ def current_year_detections(det: DataFrame, cfg: C.RunConfig, with_most_recent:
     out = det
     if with_most_recent:
         top = det.agg(F.max("spawn_year").alias("most_recent"))
-        out = out.crossJoin(F.broadcast(top))
+        out = out.withColumn("most_recent", top.scalar())
     out = out.withColumn("current_sy", cur)
     return out.filter(coarse & (F.col("spawn_year") == F.col("current_sy")))
 

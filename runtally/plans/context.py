@@ -31,7 +31,7 @@ class RunTables:
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str, cfg: C.RunConfig = C.FIXTURE_CONFIG) -> "RunTables":
-        ds = fixtures.downstream_feed(spark, sf_dir)
+        ds = fixtures.downstream_feed(spark, sf_dir, cfg)
         return cls(
             spark=spark,
             cfg=cfg,
@@ -103,7 +103,7 @@ class RunTables:
 
     @cached_property
     def daily_completed(self) -> DataFrame:
-        return completed.daily_completed(self.completed_individuals, self.cfg, self.cfg.entry_date_zone)
+        return completed.daily_completed(self.completed_individuals, self.cfg)  # always local days
 
     # --------------------------------------------------------- progress
     @cached_property

@@ -174,3 +174,10 @@ def length_frequency_labels(lf: DataFrame) -> DataFrame:
     """Display text of the length-frequency bars."""
     text = X.concat_strict("Length Bin: ", X.number_text("length_bin_in"), "<br>Number: ", F.col("freq").cast("string"))
     return lf.select("species", "length_bin_in", text.alias("label"))
+
+
+def flow_labels(flow: DataFrame) -> DataFrame:
+    """Text of each river point; the value follows two spaces, as its separator adds one."""
+    value = F.regexp_replace(F.col("mean_discharge").cast("double").cast("string"), r"\.0$", "")
+    return flow.select("date", F.concat(
+        F.lit(" Date: "), F.col("date").cast("string"), F.lit(" <br> Mean Discharge (cfs):  "), value).alias("label"))

@@ -35,7 +35,7 @@ def completed_years_job(feeds: CompletedFeeds, out_root: str, cfg: C.RunConfig)
     det = canonical.completed_detections(feeds.detections)
     ds = canonical.latest_downstream_time(canonical.downstream_detections(feeds.downstream, "parse"))
     ind = completed.individuals_completed_single_pass(det, ds, cfg)
-    daily = completed.daily_completed(ind, cfg, cfg.entry_date_zone)
+    daily = completed.daily_completed(ind, cfg)  # always local days
     return marts.write_mart(daily, out_root, "daily_completed")
 
 

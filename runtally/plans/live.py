@@ -159,10 +159,9 @@ def daily_entries(ind: DataFrame, entry_date_zone: str | None = None) -> DataFra
 def flow_window(flow: DataFrame, daily: DataFrame, cfg: C.RunConfig) -> DataFrame:
     """OP17: river values from the first entry day up to the as-of date.
 
-    The lower bound is a scalar (one-row aggregate, broadcast)."""
-    lo = daily.agg(F.min("sfc_final_date").alias("_lo"))
+    The lower bound is a scalar subquery, so it is pushed down like a literal."""
+    lo = daily.agg(F.min("sfc_final_date").alias("_lo")).scalar()
     return (
-        flow.crossJoin(F.broadcast(lo))
-        .filter((F.col("date") >= F.col("_lo")) & (F.col("date") <= F.lit(cfg.as_of)))
+        flow.filter((F.col("date") >= lo) & (F.col("date") <= F.lit(cfg.as_of)))
         .select("date", "mean_temp", "mean_discharge", F.lit(1).alias("group"))
     )

@@ -44,7 +44,7 @@ def complete_daily(daily_completed: DataFrame, cfg: C.RunConfig) -> DataFrame:
     out = complete_dates(d, keys, "dummy_date", F.min("min_dummy"), F.max("max_date"))
     out = out.drop("min_dummy", "max_date")
     out = zero_fill(out, ["n", "daily_prop"])
-    out = fill_down(out, keys, ["dummy_date"], FILL_COLUMNS)
+    out = fill_down(out, keys, ["dummy_date", "sfc_final_date"], FILL_COLUMNS)
     return out.select(
         "species", "spawn_year", "dummy_date", "sfc_final_date", "n", *FILL_COLUMNS, "current_sy", "day_of_year"
     )
@@ -57,7 +57,7 @@ def complete_current(daily: DataFrame, cfg: C.RunConfig) -> DataFrame:
     out = complete_dates(d, ["species"], "dummy_date", F.min("dummy_date"), F.max("max_date"))
     out = out.drop("max_date")
     out = zero_fill(out, ["n", "daily_prop"])
-    out = fill_down(out, ["species"], ["dummy_date"], [*FILL_COLUMNS, "spawn_year"])
+    out = fill_down(out, ["species"], ["dummy_date", "sfc_final_date"], [*FILL_COLUMNS, "spawn_year"])
     return out.select(
         "species", "dummy_date", "sfc_final_date", "spawn_year", "n", *FILL_COLUMNS, "day_of_year"
     )

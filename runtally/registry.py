@@ -28,14 +28,8 @@ CFG = C.FIXTURE_CONFIG
 SPECIES_PARAM = "Steelhead"
 ROUND = 6
 
-_tables: dict[tuple, RunTables] = {}
-
-
 def tables(spark: SparkSession, sf_dir: str, cfg: C.RunConfig = CFG) -> RunTables:
-    key = (id(spark), sf_dir, cfg)
-    if key not in _tables:
-        _tables[key] = RunTables.from_driver_tables(spark, sf_dir, cfg)
-    return _tables[key]
+    return RunTables.from_driver_tables(spark, sf_dir, cfg)
 
 
 def register(name: str, sql: str | None = None, cfg: C.RunConfig = CFG):
@@ -310,16 +304,15 @@ def q_first_entry(spark, sf):
 @register(
     "current_year_key",
     f"""SELECT s.species, {O._cur_sy('s.species')} AS current_sy, {O._DOY} AS today_jday,
-               {O._today_dummy('s.species')} AS today_dummy
-        FROM (SELECT DISTINCT species FROM det WHERE species IN {O._KNOWN}) s""",
+               {O._today_dummy('s.species')} AS today_dummy, coalesce(d.n, 0) AS detections
+        FROM (VALUES {', '.join(f"('{s}')" for s in CFG.species)}) s(species)
+        LEFT JOIN (SELECT species, count(*) AS n FROM det GROUP BY species) d ON s.species = d.species""",
 )
 def q_current_year_key(spark, sf):
-    # The key lists every configured species; joined to the species seen in
-    # the detections so the query reads the given tables.
-    t = tables(spark, sf)
-    seen = t.detections.select("species").distinct()
+    # every configured species, whether the detections hold it or not
+    seen = tables(spark, sf).detections.groupBy("species").agg(F.count(F.lit(1)).alias("detections"))
     key = dashboard.current_year_key(spark, CFG)
-    return seen.join(F.broadcast(key), "species", "inner")
+    return key.join(seen, "species", "left").withColumn("detections", F.coalesce("detections", F.lit(0)))
 
 
 # --------------------------------------------------- generic operators
@@ -433,9 +426,7 @@ def q_fill_down(spark, sf):
 def q_left_join_key(spark, sf):
     det = tables(spark, sf).detections
     key = dashboard.current_year_key(spark, CFG).select("species", "current_sy")
-    # the key has one row per configured species: a proven size bound
-    key = relational.broadcast_bounded(key, len(CFG.species), CFG.broadcast_max_rows)
-    return det.join(key, "species", "left")
+    return det.join(F.broadcast(key), "species", "left")  # one literal row per configured species
 
 
 @register(
@@ -480,7 +471,7 @@ def q_half_even(spark, sf):
           SELECT {O._case('substr(o_orderpriority, 1, 1)', fixtures.PRIORITY_SITE, fixtures.OTHER_SITE)} AS site,
                  {O._case('substr(o_orderpriority, 1, 1)', O._token_map(fixtures.PRIORITY_SITE), fixtures.OTHER_SITE.split(' ')[0])}
                    AS observation_sitecode
-          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderdate < {O.AS_OF_NEXT})
+          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
         GROUP BY ALL""",
 )
 def q_site_token(spark, sf):
@@ -588,6 +579,15 @@ def q_run_status_mid(spark, sf):
     return dashboard.run_status_today(tables(spark, sf, MID).run_stats, MID)
 
 
+@register(
+    "flow_labels",
+    """SELECT date, ' Date: ' || CAST(date AS VARCHAR) || ' <br> Mean Discharge (cfs):  '
+              || regexp_replace(CAST(mean_discharge AS VARCHAR), '\\.0$', '') AS label FROM flow""",
+)
+def q_flow_labels(spark, sf):
+    return dashboard.flow_labels(tables(spark, sf).flow)
+
+
 # ------------------------------------------------------ display texts
 # The text the dashboard attaches to each plotted point (NULL-propagating
 # concatenation, "%b %d" dates, whole numbers without decimals).

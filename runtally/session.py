@@ -1,9 +1,8 @@
-"""Session helpers: local sessions for tests/bench and the checkpoint folder."""
+"""Local sessions for tests and benchmarks."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -40,63 +39,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the session has none (local tests) is a scratch folder set.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="runtally-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def cluster_conf(
-    input_bytes: int,
-    total_cores: int,
-    target_partition_bytes: int = 256 << 20,
-    shuffle_fraction: float = 0.25,
-    max_shuffle_partitions: int = 100_000,
-) -> dict[str, str]:
-    """Settings for a cluster run over ``input_bytes`` of detection data.
-
-    The per-fish shuffle carries only the pruned columns, already reduced by
-    the map-side partial aggregate, so it is sized from ``shuffle_fraction``
-    of the input: one partition per ``target_partition_bytes`` of that (at
-    least 3 per core, capped to bound the map x reduce block count). AQE
-    coalesces whatever turns out smaller.
-    Scans split at the same size. Skew-join splitting stays on for the
-    membership join. Static settings (JIT option, codegen cache) must be
-    given when the application starts.
-    """
-    shuffle = max(3 * total_cores, int(input_bytes * shuffle_fraction) // target_partition_bytes + 1)
-    return {
-        **SQL_CONF,
-        "spark.sql.shuffle.partitions": str(min(shuffle, max_shuffle_partitions)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.codegen.cache.maxEntries": "2000",
-        "spark.driver.extraJavaOptions": JIT_OPTIONS,
-        "spark.executor.extraJavaOptions": JIT_OPTIONS,
-    }
-
-
-RUNTIME_KEYS = (
-    "spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled",
-    "spark.sql.adaptive.skewJoin.enabled", "spark.sql.shuffle.partitions",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes",
-)
-
-
-def apply_runtime_conf(spark: SparkSession, conf: dict[str, str]) -> None:
-    """Apply the settings of ``cluster_conf`` that can change at runtime."""
-    for k in RUNTIME_KEYS:
-        if k in conf:
-            spark.conf.set(k, conf[k])

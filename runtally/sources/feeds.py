@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runtally.operators.relational import spread_if_narrow
 
 # Raw column names used by the canonicalisation step.
 RAW_COLUMNS = (
@@ -84,7 +83,8 @@ def read_report(
 ) -> DataFrame:
     """Read one report feed from one or more landed files (union ALL in the
     given file order). UTF-16LE reports need ``encoding="UTF-16LE"`` and
-    ``line_sep="\\r\\n"``; a byte-order mark, if present, is dropped."""
+    ``line_sep="\\r\\n"``; a byte-order mark, if present, is dropped. Columns a
+    feed lacks are NULL, so every feed can go to every job."""
     headers = FEEDS[feed]
     paths = [paths] if isinstance(paths, str) else list(paths)
     schema = feed_schema(headers)
@@ -107,8 +107,7 @@ def read_report(
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    # the ordinal is fixed above, so spreading a narrow read keeps report order
-    return spread_if_narrow(out)
+    return standardise(out)
 
 
 def standardise(raw: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from runtally import config as C
 from runtally.functions.columns import case_map
-from runtally.operators.relational import spread_if_narrow
 
 # Fixed fixture mappings (see FIXTURES.md section 4).
 SEGMENT_SPECIES = {
@@ -40,7 +39,13 @@ OTHER_REAR = "U"
 NATION_RUN = {0: "Spring", 1: "Summer", 2: "Fall"}
 OTHER_RUN = "Winter"
 RELEASE_ORIGIN = dt.date(1994, 1, 1)
-DOWNSTREAM_CUTOFF = dt.date(2000, 1, 1)
+# Day of the driver tables' last order: all dates move back by the days from the
+# run's as-of date to it, so a report landed on the as-of date holds every row.
+LAST_ORDER = dt.date(2001, 8, 1)
+# Downstream detections lie 0, 1, 2 or 3 times so many days before the shipment
+# (by fish), so that juveniles both pass and fail "downstream before upstream".
+DOWNSTREAM_STEP_DAYS = 150
+DOWNSTREAM_STEPS = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +75,11 @@ def date_text(d, compact: bool) -> F.Column:
     return F.concat(_two(F.month(d)), sep, _two(F.dayofmonth(d)), sep, F.lpad(F.year(d).cast("string"), 4, "0"))
 
 
+def shift_days(cfg: C.RunConfig) -> int:
+    """Days by which the tables' dates move back for a run."""
+    return (LAST_ORDER - cfg.as_of).days
+
+
 def _tag(custkey) -> F.Column:
     return F.concat(F.lit("T"), custkey.cast("string"))
 
@@ -79,18 +89,16 @@ def _release_site(custkey) -> F.Column:
 
 
 def detection_feed(spark: SparkSession, sf_dir: str, cfg: C.RunConfig, completed: bool = False) -> DataFrame:
-    """Raw detection report as landed on ``cfg.as_of`` (one row per order).
+    """Raw detection report as landed on ``cfg.as_of`` (one row per order, all orders).
 
     ``completed=True`` gives the completed-years report spelling: release
     date as ``MMddyyyy`` and a run name column.
     """
-    o = spread_if_narrow(table(spark, sf_dir, "orders").filter(
-        F.col("o_orderdate") < F.lit(cfg.as_of + dt.timedelta(days=1)).cast("timestamp_ntz")
-    ))
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     d = o.join(c, o.o_custkey == c.c_custkey, "inner")
     key = F.col("o_orderkey")
-    obs = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (key % 24).cast("int"), (key % 60).cast("int"), F.lit(0))
+    obs = F.col("o_orderdate") + F.make_dt_interval(F.lit(-shift_days(cfg)), (key % 24).cast("int"), (key % 60).cast("int"), F.lit(0))
     release = F.date_add(F.lit(RELEASE_ORIGIN), (F.col("o_custkey") * 37 % 1500).cast("int"))
     cols = {
         "tag": _tag(F.col("o_custkey")),
@@ -109,11 +117,10 @@ def detection_feed(spark: SparkSession, sf_dir: str, cfg: C.RunConfig, completed
     return d.select(*[v.alias(k) for k, v in cols.items()])
 
 
-def downstream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def downstream_feed(spark: SparkSession, sf_dir: str, cfg: C.RunConfig) -> DataFrame:
     """Raw downstream-detection report (one row per line item)."""
-    li = spread_if_narrow(table(spark, sf_dir, "lineitem").filter(
-        F.col("l_shipdate") < F.lit(DOWNSTREAM_CUTOFF).cast("timestamp_ntz")
-    ).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     d = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     ordinal = F.struct(
@@ -121,11 +128,14 @@ def downstream_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("part"),
         F.col("l_suppkey").alias("supp"),
     )
+    earlier = -(F.lit(shift_days(cfg)) + F.col("o_custkey") % DOWNSTREAM_STEPS * DOWNSTREAM_STEP_DAYS)
+    clock = F.make_dt_interval(earlier.cast("int"), ((F.col("l_orderkey") + F.col("l_linenumber")) % 24).cast("int"),
+                               (F.col("l_partkey") % 60).cast("int"), F.lit(0))
     return d.select(
         _tag(F.col("o_custkey")).alias("tag"),
         case_map("l_returnflag", RETURNFLAG_SITE, OTHER_DOWNSTREAM_SITE).alias("site"),
         _release_site(F.col("o_custkey")).alias("release_site"),
-        clock_text(F.col("l_shipdate")).alias("obs_time"),
+        clock_text(F.col("l_shipdate") + clock).alias("obs_time"),
         ordinal.alias("ordinal"),
     )
 

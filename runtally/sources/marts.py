@@ -20,7 +20,6 @@ PARTITIONING: dict[str, tuple[str, ...]] = {
     "alldaily": ("species",),
     "run_stats": ("species",),
     "sfc_flow": (),
-    "detections": ("observation_year",),
 }
 
 
@@ -41,6 +40,4 @@ def write_mart(df: DataFrame, root: str, name: str, partition_by: Sequence[str]
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    df = spark.read.parquet(mart_path(root, name))
-    # keep the logical column order stable (partition columns come last)
-    return df
+    return spark.read.parquet(mart_path(root, name))

@@ -22,7 +22,7 @@ WIDE_COLUMNS = {
 HISTORY_START = dt.date(1990, 1, 1)
 
 
-def read_long(spark: SparkSession, path: str, site: str | None, start: dt.date, end: dt.date) -> DataFrame:
+def read_long(spark: SparkSession, path: str, site: str | None, end: dt.date, start: dt.date = HISTORY_START) -> DataFrame:
     df = spark.read.parquet(path)
     cond = (F.col("date") >= F.lit(start)) & (F.col("date") <= F.lit(end))
     if site is not None:

@@ -12,10 +12,9 @@ SF_SMALL = os.environ.get("RUNTALLY_TEST_SF", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from runtally.session import checkpoint_dir, local_session
+    from runtally.session import local_session
 
     s = local_session(4, shuffle_partitions=8, app="runtally-tests")
-    checkpoint_dir(s)  # tests only: a scratch folder when none is configured
     yield s
     s.stop()
 

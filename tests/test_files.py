@@ -1,14 +1,15 @@
-"""Landed report files, Parquet marts, batch jobs and snapshot ingestion."""
+"""Landed report files, river values, Parquet marts and batch jobs."""
 
 
+import datetime as dt
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from runtally import config as C
 from runtally.plans import canonical, jobs
 from runtally.plans.context import RunTables
-from runtally.sources import feeds, fixtures, marts
-from runtally.streaming import landing
+from runtally.sources import feeds, fixtures, marts, river
 
 CFG = C.FIXTURE_CONFIG
 
@@ -82,17 +83,46 @@ def test_jobs_write_and_read_marts(spark, sf_dir, tmp_path):
     assert d.unique_fish.count() == t.individuals.select("species").distinct().count()
 
 
-def test_snapshot_ingestion_is_incremental(spark, sf_dir, tmp_path):
-    pdf = _live_pdf(spark, sf_dir)
-    land, table, ckpt = tmp_path / "landing", str(tmp_path / "det"), str(tmp_path / "ckpt")
-    land.mkdir()
-    _write_report(pdf.iloc[: len(pdf) // 2], feeds.LIVE_DETECTIONS, land / "r1.csv", True)
-    landing.ingest_snapshots(spark, str(land), table, ckpt)
-    first = landing.latest_snapshot(spark, table).count()
-    assert first == len(pdf) // 2
-    _write_report(pdf, feeds.LIVE_DETECTIONS, land / "r2.csv", True)
-    landing.ingest_snapshots(spark, str(land), table, ckpt)
-    assert landing.latest_snapshot(spark, table).count() == len(pdf)
-    # re-running with nothing new changes nothing
-    landing.ingest_snapshots(spark, str(land), table, ckpt)
-    assert spark.read.parquet(table).select("snapshot").distinct().count() == 2
+def _land(df, headers: dict, folder, parts: int, name: str, **how) -> list[str]:
+    pdf = df.orderBy("ordinal").toPandas()
+    paths = []
+    for k in range(parts):
+        out = pdf.iloc[k * len(pdf) // parts:(k + 1) * len(pdf) // parts][list(headers.values())].copy()
+        out.columns = list(headers)
+        path = folder / f"{name}{k}.csv"
+        path.write_bytes(out.to_csv(index=False, lineterminator="\r\n").encode(how.get("encoding", "utf-8")))
+        paths.append(str(path))
+    return paths
+
+
+def test_jobs_from_landed_files_equal_the_table_fed_ones(spark, sf_dir, tmp_path):
+    t = RunTables.from_driver_tables(spark, sf_dir, CFG)
+    utf16 = {"encoding": "UTF-16LE", "line_sep": "\r\n"}
+    read = lambda paths, feed, **how: feeds.read_report(spark, paths, feed, **how)
+    live = read(_land(t.live_raw, feeds.LIVE_DETECTIONS, tmp_path, 1, "live", encoding="utf-16-le"), "live_detections", **utf16)
+    live_ds = read(_land(t.live_downstream_raw, feeds.LIVE_DOWNSTREAM, tmp_path, 2, "lds", encoding="utf-16-le"), "live_downstream", **utf16)
+    done = read(_land(t.completed_raw, feeds.COMPLETED_DETECTIONS, tmp_path, 1, "done"), "completed_detections")
+    done_ds = read(_land(t.completed_downstream_raw, feeds.COMPLETED_DOWNSTREAM, tmp_path, 6, "dds"), "completed_downstream")
+    roots = [str(tmp_path / "files"), str(tmp_path / "tables")]
+    for root, lv, dn in ((roots[0], (live, live_ds), (done, done_ds)),
+                         (roots[1], (t.live_raw, t.live_downstream_raw), (t.completed_raw, t.completed_downstream_raw))):
+        jobs.completed_years_job(jobs.CompletedFeeds(*dn), root, CFG)
+        jobs.live_job(spark, jobs.LiveFeeds(*lv, t.flow_daily), root, CFG)
+    for mart in ("daily_completed", "individuals", "daily", "sfc_flow", "alldaily", "run_stats"):
+        a, b = (sorted(map(str, marts.read_mart(spark, r, mart).drop("ordinal").collect())) for r in roots)
+        assert a == b and a, mart
+
+
+def test_river_values_long_and_wide(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "river")
+    fixtures.river_daily_long(spark, sf_dir).withColumn("site_no", F.lit("g")).write.parquet(path)
+    end = dt.date(1999, 12, 31)
+    got = river.read_long(spark, path, "g", end)
+    want = fixtures.river_daily(spark, sf_dir).filter(F.col("date") <= F.lit(end))
+    rows = sorted(map(tuple, got.select("date", "mean_temp", "mean_discharge").collect()))
+    assert rows == sorted(map(tuple, want.select("date", "mean_temp", "mean_discharge").collect())) and rows
+    wide = spark.sql("SELECT timestamp'2001-05-01 00:00:00' AS Date, 3 AS X_00010_00003, 8 AS X_00060_00003")
+    assert tuple(river.from_wide(wide).first()) == (dt.date(2001, 5, 1), 3.0, 8.0)
+    early = spark.sql("SELECT date'1989-12-31' AS date, 'g' AS site_no, '00060' AS parameter_cd, 1.0 AS value")
+    early.write.parquet(str(tmp_path / "early"))
+    assert river.read_long(spark, str(tmp_path / "early"), None, end).count() == 0  # history starts in 1990

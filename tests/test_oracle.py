@@ -15,7 +15,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.SQL) == set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

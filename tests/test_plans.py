@@ -22,10 +22,10 @@ def t(spark, sf_dir):
     return registry.tables(spark, sf_dir)
 
 
-def test_as_of_cut_and_columns_reach_the_scan(t):
+def test_columns_reach_the_scan_and_no_input_is_cut_or_spread(t):
     p = _initial(t.detections)
     orders_scan = [l for l in p.splitlines() if "FileScan parquet" in l and "o_orderdate" in l][0]
-    assert "LessThan(o_orderdate" in orders_scan
+    assert "LessThan" not in orders_scan and "RoundRobin" not in p
     # only the columns the feed needs are read
     assert "o_clerk" not in orders_scan and "o_comment" not in orders_scan
 
@@ -81,16 +81,15 @@ def test_no_window_over_raw_detections(t):
         assert _scans_without_aggregate_below_window(_initial(df)) == []
 
 
-def test_scalars_are_broadcast_one_row_sides(t):
-    """Scalar bounds (flow window's first day, global max year) are one-row
-    aggregates joined by broadcast, never a cartesian product or an
-    unpartitioned window."""
+def test_scalars_are_subqueries(t):
+    """Scalar bounds (flow window's first day, global max year) are scalar
+    subqueries, never a join or an unpartitioned window."""
     from runtally import config as C
     from runtally.plans import canonical
     for df in (t.flow, canonical.current_year_detections(t.detections, C.FIXTURE_CONFIG, with_most_recent=True)):
         p = _initial(df)
-        assert "BroadcastNestedLoopJoin" in p
-        assert "CartesianProduct" not in p and "Window" not in p
+        assert "scalar-subquery" in p or "Subquery" in p
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p and "Window" not in p
 
 
 def test_species_mart_filter_is_partition_pruning(spark, tmp_path, t):

@@ -402,3 +402,43 @@ def test_complete_dates_forms_agree(spark):
     # (a,1): 3 uncovered grid days + 2 duplicate rows + 1 outside = 6;
     # (a,2): 3 + 1 + NULL-date row = 5; (NULL,1): 3 + 1 = 4; b: no grid, 1
     assert len(ra) == 16
+
+
+def test_completed_entry_days_are_local_in_every_mode(spark, sf_dir):
+    import dataclasses
+
+    from runtally.plans.context import RunTables
+    host = dataclasses.replace(C.FIXTURE_CONFIG, entry_date_zone="UTC")
+    a, b = (sorted(map(str, RunTables.from_driver_tables(spark, sf_dir, c).daily_completed.collect())) for c in (host, C.FIXTURE_CONFIG))
+    assert a == b and a
+
+
+def test_ignoring_the_marker_changes_downstream_times(spark, sf_dir):
+    from runtally import registry
+    t = registry.tables(spark, sf_dir)
+    ignored = registry.QUERIES["downstream_ampm_ignored"](spark, sf_dir).withColumnRenamed("latest_downstream", "other")
+    both = t.downstream_latest_time.join(ignored, "pit_id")
+    assert both.filter("latest_downstream <> other").count() > 0
+
+
+def test_both_juvenile_outcomes_occur(spark, sf_dir):
+    from runtally import registry
+    t = registry.tables(spark, sf_dir)
+    late = t.detections.groupBy("pit_id").agg({"observation_datetime": "max"}).toDF("pit_id", "up")
+    j = late.join(t.downstream_latest_time, "pit_id")
+    assert j.filter("latest_downstream < up").count() >= 10 and j.filter("latest_downstream >= up").count() >= 10
+
+
+def test_current_year_key_lists_species_not_seen(spark):
+    from runtally.plans import dashboard
+    key = dashboard.current_year_key(spark, C.FIXTURE_CONFIG)
+    assert sorted(r.species for r in key.collect()) == sorted(C.SPECIES)
+
+
+def test_fill_down_takes_days_in_order_on_one_dummy_day(spark):
+    from runtally.operators.running import fill_down
+    rows = [("a", dt.date(1976, 1, 1), dt.date(1998, 1, 1), 2), ("a", dt.date(1976, 1, 1), dt.date(1997, 1, 1), 1),
+            ("a", dt.date(1976, 1, 2), None, None)]
+    df = spark.createDataFrame(rows, "k string, dummy_date date, sfc_final_date date, v int")
+    got = fill_down(df, ["k"], ["dummy_date", "sfc_final_date"], ["v"]).filter("dummy_date = date'1976-01-02'").collect()
+    assert [r.v for r in got] == [2]
