@@ -143,16 +143,17 @@ def fit_tree(points: DataFrame, dims: int, shards: int) -> list[list[tuple]]:
         if not cuts:  # no rows
             break
         levels.append([(c.node, c.dim, c.key, c.part, c.node + c.left) for c in cuts])
-        rows = _descend(rows, levels[-1])
+        rows = _descend(rows, levels[-1], len(levels))
         for c in cuts:
             nodes[c.node + c.left], nodes[c.node] = nodes[c.node] - c.left, c.left
     return levels
 
 
-def _descend(rows: DataFrame, level: list[tuple]) -> DataFrame:
+def _descend(rows: DataFrame, level: list[tuple], depth: int) -> DataFrame:
     at = _rows(rows.sparkSession, [(n, *rest) for n, *rest in level], "of int, dim int, cut long, part long, right int")
     key = F.element_at("keys", F.col("dim") + 1)
-    goes_right = (key > F.col("cut")) | ((key == F.col("cut")) & (F.col("unit") >= F.col("part")))
+    unit = F.pmod(F.xxhash64("unit", F.lit(depth)), F.lit(UNITS))  # another hash a level: the parts of a point stay uniform
+    goes_right = (key > F.col("cut")) | ((key == F.col("cut")) & (unit >= F.col("part")))
     return rows.join(F.broadcast(at), F.col("node") == F.col("of"), "left").select(  # one row per tree node
         *(c for c in rows.columns if c != "node"), F.when(goes_right, F.col("right")).otherwise(F.col("node")).alias("node"))
 
@@ -160,8 +161,8 @@ def _descend(rows: DataFrame, level: list[tuple]) -> DataFrame:
 def assign(points: DataFrame, levels: list[list[tuple]]) -> DataFrame:
     """``points`` with their ``node``, the number of the shard."""
     rows = points.withColumn("node", F.lit(0))
-    for level in levels:
-        rows = _descend(rows, level)
+    for depth, level in enumerate(levels, 1):
+        rows = _descend(rows, level, depth)
     return rows
 
 
