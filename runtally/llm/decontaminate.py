@@ -7,8 +7,8 @@ automaton; every document is normalised, scanned once, and each occurrence found
 is mapped back to words and to character offsets of the original text.
 
 The automaton is the only thing sent to the tasks. Its size is bounded: the
-benchmark is taken in slices of at most ``SLICE`` bytes of text (read off a sum
-before anything is sent), each slice has its own automaton and scans the
+benchmark is dealt into slices of about ``SLICE`` bytes of text at most (read off
+a sum before anything is sent), each slice has its own automaton and scans the
 documents, and the finds are united per document. A benchmark of usual size is
 one slice, so texts are read once and nothing is shuffled.
 
@@ -22,6 +22,7 @@ and ``text`` are read.
 from __future__ import annotations
 
 import functools
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -30,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from runtally.llm.common import materialise
 
@@ -95,16 +95,16 @@ def _load(packed: bytes) -> ahocorasick.Automaton:
 
 
 def _slices(benchmark: DataFrame) -> list[list[tuple[str, str | None]]]:
-    """The benchmark in slices of at most ``SLICE`` bytes (one item at least)."""
+    """The benchmark in slices of about ``SLICE`` bytes at most; one that fits is a single slice."""
     b = materialise(benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).distinct())
     size = F.octet_length(F.coalesce("text", F.lit(""))) + 64
     total = b.agg(F.sum(size)).first()[0] or 0
     if total <= SLICE:
         return [[(r.item or "", r.text) for r in b.collect()]]
-    running = F.sum(size).over(Window.orderBy("item", "text"))  # the benchmark alone, not the corpus
-    b = materialise(b.withColumn("slice", F.floor(running / SLICE)))
-    numbers = sorted(r.slice for r in b.select("slice").distinct().collect())
-    return [[(r.item or "", r.text) for r in b.filter(F.col("slice") == n).collect()] for n in numbers]
+    # dealt by hash into slices of half of ``SLICE`` on average, so none is far over it
+    count = math.ceil(2 * total / SLICE)
+    b = materialise(b.withColumn("slice", F.pmod(F.xxhash64("item", "text"), F.lit(count))))
+    return [[(r.item or "", r.text) for r in b.filter(F.col("slice") == n).collect()] for n in range(count)]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -157,3 +157,27 @@ def _scanner(packed):
                 ["row", "doc_id", "n_words", "hits", "starts", "ends", "items"])
 
     return task
+
+
+def decontaminate_sql(docs: str = "documents", benchmark: str = "benchmark", width: int = WINDOW) -> str:
+    """The counts of ``decontaminate`` as DuckDB SQL: windows of every size that occurs in the benchmark are joined."""
+    def words(text: str) -> str:
+        low = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words('text')} AS w FROM {docs}),
+b AS (SELECT DISTINCT item_id, {words('text')} AS w FROM {benchmark}),
+i AS (SELECT item_id, w, least(len(w), {width}) AS size FROM b WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS gram
+    FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM i)),
+sizes AS (SELECT DISTINCT size FROM iw),
+dw AS (SELECT rid, size, k, array_to_string(w[k:k + size - 1], ' ') AS gram
+    FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM d, sizes WHERE len(w) >= size)),
+hit AS (SELECT rid, k, size, item_id FROM dw JOIN iw USING (size, gram)),
+n AS (SELECT rid, count(DISTINCT word) AS n_hit FROM (SELECT rid, unnest(range(k, k + size)) AS word FROM hit) GROUP BY rid),
+f AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (rid) LEFT JOIN f USING (rid)"""

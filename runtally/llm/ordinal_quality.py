@@ -21,7 +21,8 @@ fixed size.
 
 Defined cases: a null or empty text has no word features and is scored by the
 thresholds alone; labels without a document, or with a null in quality or toxic,
-are not used for fitting; a document labelled twice is fitted twice; without
+are not used for fitting; a document labelled with two grades is fitted with each,
+equal labels count once; of a repeated doc_id the smallest text is fitted; without
 labels of two grades at least nothing is learned and everything is kept; repeated
 rows get equal scores; an empty table gives an empty result; only ``doc_id`` and
 ``text`` of the documents are read.
@@ -156,10 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Model |
     ship(docs.sparkSession)
     rated = labels.select(F.col("doc_id").alias("rated"), grade(F.col("quality"), F.col("toxic")).alias("grade"),
                           (F.col("quality") + F.col("toxic")).alias("known")).filter("known IS NOT NULL AND rated IS NOT NULL")
-    chosen = rated.orderBy(F.xxhash64("rated"), "rated", "grade").limit(limit).select("rated", "grade")
+    chosen = rated.select("rated", "grade").distinct().orderBy(F.xxhash64("rated"), "rated", "grade").limit(limit)
     chosen = materialise(chosen)
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("rated"))  # at most ``limit`` rows
+    rows = rows.groupBy("rated", "grade").agg(F.min("text").alias("text"))  # of a repeated doc_id one text
     got = sorted((tuple(r.cols), r.grade) for r in _featured(rows).collect())
     return fit([list(c) for c, _ in got], np.array([g for _, g in got], np.int64)) if got else None
 

@@ -83,7 +83,7 @@ def op7(spark, sf):
     return suffix_dedup.suffix_dedup(table(spark, sf, "documents"))
 
 
-@register("op8_decontaminate")
+@register("op8_decontaminate", decontaminate.decontaminate_sql())
 def op8(spark, sf):
     out = decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     n_hit = F.size("hits").cast("long")
@@ -99,6 +99,6 @@ def op9(spark, sf):
     return token_files.read_tokens(manifest)
 
 
-@register("op10_quote_threads")
+@register("op10_quote_threads", quote_threads.reply_order_sql())
 def op10(spark, sf):
     return quote_threads.reply_order(table(spark, sf, "conversations"))

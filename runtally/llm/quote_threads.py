@@ -99,3 +99,34 @@ def reply_order(messages: DataFrame) -> DataFrame:
     placed = number_rows(linked, ["conv_id"], ["tree", "turn", "text"], "position")
     mark = F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), F.col("text"), F.lit("\n<|end|>\n"))
     return placed.select("conv_id", "position", "turn", "role", "parent_turn", "tree", "quoted_lines", "text", mark.alias("chat"))
+
+
+def reply_order_sql(table: str = "conversations") -> str:
+    """The same result as DuckDB SQL: lines instead of their hashes, roots by recursion."""
+    return f"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id, turn::BIGINT AS turn, role,
+    regexp_split_to_array(coalesce(text, ''), '\r?\n') AS raw FROM {table}),
+u AS (SELECT rid, conv_id, turn, unnest(raw) AS line, unnest(range(len(raw))) AS k FROM m),
+l AS (SELECT rid, conv_id, turn, k, regexp_replace(line, '{MARKS}', '') AS line,
+    length(regexp_replace(regexp_extract(line, '{MARKS}'), '[^>]', '', 'g')) AS level FROM u),
+p AS (SELECT conv_id, turn, level, trim(regexp_replace(lower(line), '[ \t\n\x0B\f\r>]+', ' ', 'g'), ' ') AS norm
+    FROM l WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]')),
+own AS (SELECT conv_id, norm, min(turn) AS source FROM p WHERE level = 0 GROUP BY conv_id, norm),
+quoted AS (SELECT conv_id, turn, norm, min(level) AS level FROM p WHERE level > 0 GROUP BY conv_id, turn, norm),
+votes AS (SELECT q.conv_id, q.turn, source, count(*) FILTER (WHERE level = 1) AS direct, count(*) AS n
+    FROM quoted q JOIN own o ON q.conv_id IS NOT DISTINCT FROM o.conv_id AND q.norm = o.norm WHERE source < q.turn GROUP BY ALL),
+links AS (SELECT conv_id, turn, source AS parent_turn, sum(n) OVER (PARTITION BY conv_id, turn)::BIGINT AS quoted_lines FROM votes
+    QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY direct DESC, n DESC, source DESC) = 1),
+climb AS (SELECT conv_id, turn, parent_turn AS top FROM links
+    UNION ALL SELECT c.conv_id, c.turn, l.parent_turn FROM climb c JOIN links l ON c.conv_id IS NOT DISTINCT FROM l.conv_id AND c.top = l.turn),
+tops AS (SELECT conv_id, turn, min(top) AS top FROM climb GROUP BY conv_id, turn),
+stays AS (SELECT *, level = 0 AND NOT (coalesce(lead(level) OVER (PARTITION BY rid ORDER BY k), 0) > 0
+    AND regexp_matches(line, '{INTRODUCES}')) AS stay FROM l),
+texts AS (SELECT rid, trim(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE stay), ''), ' ') AS text FROM stays GROUP BY rid),
+r AS (SELECT m.conv_id, m.turn, role, parent_turn, coalesce(top, m.turn) AS tree, coalesce(quoted_lines, 0)::BIGINT AS quoted_lines, text
+    FROM m JOIN texts USING (rid)
+    LEFT JOIN links ON m.conv_id IS NOT DISTINCT FROM links.conv_id AND m.turn = links.turn
+    LEFT JOIN tops ON m.conv_id IS NOT DISTINCT FROM tops.conv_id AND m.turn = tops.turn)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY tree NULLS FIRST, turn NULLS FIRST, text) - 1 AS position, turn, role,
+    parent_turn, tree, quoted_lines, text,
+    '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS chat FROM r"""

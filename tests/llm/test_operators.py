@@ -405,3 +405,11 @@ def test_quotes_link_to_originals_and_go(spark):
     assert by[3].tree == 0 and by[3].quoted_lines == 2
     assert by[2].chat == "<|assistant|>\nYes, it is.\n<|end|>\n"
     assert quote_threads.reply_order(df.limit(0)).count() == 0
+    # the twin, where roles of tied rows agree
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    want = con.execute(quote_threads.reply_order_sql()).fetchdf()
+    names = quote_threads.reply_order(df).columns
+    assert sorted(want.columns) == sorted(names)
+    plain = lambda v: None if v is None or v != v else int(v) if isinstance(v, (float, np.integer)) else v
+    same_rows([tuple(r[c] for c in names) for r in got.values()], [tuple(plain(r[c]) for c in names) for r in want.to_dict("records")])
