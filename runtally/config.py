@@ -102,3 +102,6 @@ class RunConfig:
 FIXTURE_CONFIG = RunConfig(as_of=dt.date(2001, 3, 15), floor_year=1994)
 # Second fixture point: after mid-year, the mid-year species is a year ahead.
 FIXTURE_CONFIG_MIDYEAR = RunConfig(as_of=dt.date(2000, 9, 1), floor_year=1994)
+# What the scheduled run computes on a host in UTC: live entry days in the host's
+# zone and downstream times read without their marker; completed years stay local.
+FIXTURE_CONFIG_HOST_ZONE = RunConfig(as_of=dt.date(2001, 3, 15), floor_year=1994, entry_date_zone="UTC", ampm="ignore")

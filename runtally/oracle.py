@@ -111,7 +111,7 @@ SELECT * EXCLUDE (rn) FROM (
   FROM cur_det WHERE release_lifestage = 'Juvenile' AND observation_datetime IS NOT NULL) WHERE rn = 1"""
 
 CTES["juv_pass"] = """
-SELECT j.*, d.latest_downstream FROM juv_latest j JOIN ds_time d ON j.pit_id = d.pit_id
+SELECT j.*, d.latest_downstream FROM juv_latest j JOIN live_ds_time d ON j.pit_id = d.pit_id
 WHERE d.latest_downstream < j.observation_datetime"""
 
 CTES["pop_live"] = f"""
@@ -137,17 +137,17 @@ SELECT s.pit_id, s.sfc_first, coalesce(s.final_raw, s.sfc_first) AS sfc_entry_fi
 FROM ind_live_sum s LEFT JOIN marks_live m ON s.pit_id = m.pit_id"""
 
 
-def _daily(src: str) -> str:
+def _daily(src: str, zone: str | None = None) -> str:
+    day = "sfc_entry_final" if zone is None else f"timezone('{zone}', timezone('America/Los_Angeles', sfc_entry_final))"
     return f"""
 SELECT sfc_final_date, spawn_year, species, n,
        CAST(sum(n) OVER (PARTITION BY spawn_year, species) AS BIGINT) AS sy_total,
        CAST(sum(n) OVER (PARTITION BY spawn_year, species ORDER BY sfc_final_date NULLS LAST
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_total
-FROM (SELECT CAST(sfc_entry_final AS DATE) AS sfc_final_date, spawn_year, species, count(*) AS n
+FROM (SELECT CAST({day} AS DATE) AS sfc_final_date, spawn_year, species, count(*) AS n
       FROM {src} GROUP BY ALL)"""
 
 
-CTES["daily0"] = _daily("individuals_live")
 CTES["daily"] = """
 SELECT sfc_final_date, spawn_year, species, n, sy_total, cumulative_total,
        CAST(n AS DOUBLE) / CAST(sy_total AS DOUBLE) AS daily_prop,
@@ -312,6 +312,8 @@ def config_ctes(cfg: C.RunConfig) -> dict[str, str]:
     doy = cfg.as_of.timetuple().tm_yday
     known = _in(cfg.species)
     cur = _cur_sy("species", cfg)
+    # a 12-hour clock read without its marker keeps hour % 12
+    live_time = "ds_datetime" if cfg.ampm == "parse" else "ds_datetime - to_hours(CAST(hour(ds_datetime) - hour(ds_datetime) % 12 AS INTEGER))"
     category = "CASE WHEN spawn_year = current_sy THEN 'Current' WHEN spawn_year <> current_sy THEN 'Previous' END"
     return {
         "det0": f"""
@@ -334,6 +336,10 @@ SELECT 'T' || CAST(o.o_custkey AS VARCHAR) AS pit_id,
          - to_days(CAST({FX.shift_days(cfg)} + o.o_custkey % {FX.DOWNSTREAM_STEPS} * {FX.DOWNSTREAM_STEP_DAYS} AS INTEGER)) AS ds_datetime,
        l.l_orderkey * 10 + l.l_linenumber AS ord_line, l.l_partkey AS ord_part, l.l_suppkey AS ord_supp
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+        "live_ds_time": f"""
+SELECT pit_id, max({live_time}) AS latest_downstream FROM ds GROUP BY pit_id
+HAVING max(ds_datetime) IS NOT NULL""",
+        "daily0": _daily("individuals_live", cfg.entry_date_zone),
         "cur_det": f"""
 SELECT * FROM (SELECT *, {cur} AS current_sy FROM det) WHERE spawn_year = current_sy""",
         "daily_completed": f"""

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 from pyspark.sql import types as T
 
 from runtally import config as C
@@ -106,17 +107,16 @@ def run_status_today(stats: DataFrame, cfg: C.RunConfig) -> DataFrame:
 def length_frequency(ind: DataFrame) -> DataFrame:
     """OP23: adult length frequency in half-inch bins with species mean and N.
 
-    The per-species mean and count are a second aggregate joined back on
-    species (partial aggregation on both sides) rather than a window over
-    every fish of a species, which would put a whole species in one task.
+    One aggregate reads the fish: count and sum per species and bin. The species
+    totals are sums over its bins, a few rows whatever the number of fish.
     """
     adults = ind.filter((F.col("release_lifestage") == "Adult") & F.col("length_mm").isNotNull())
-    adults = adults.withColumn("length_bin_in", X.inch_bin("length_mm", 0.5))
-    per_species = adults.groupBy("species").agg(
-        F.avg("length_mm").alias("mean_length"), F.count(F.lit(1)).alias("total_sample")
-    )
-    bins = adults.groupBy("species", "length_bin_in").agg(F.count(F.lit(1)).alias("freq"))
-    return bins.join(per_species, "species", "inner").select(
+    bins = adults.groupBy("species", X.inch_bin("length_mm", 0.5).alias("length_bin_in")).agg(
+        F.count(F.lit(1)).alias("freq"), F.sum("length_mm").alias("_sum"))
+    of_species = Window.partitionBy("species")  # one row per bin
+    bins = bins.withColumn("total_sample", F.sum("freq").over(of_species))
+    bins = bins.withColumn("mean_length", F.sum("_sum").over(of_species) / F.col("total_sample"))
+    return bins.filter(F.col("species").isNotNull()).select(
         "species", "length_bin_in", "freq", "total_sample", "mean_length",
         (F.col("mean_length") / C.MM_PER_INCH).alias("mean_length_in"),
     )

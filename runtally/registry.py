@@ -540,6 +540,25 @@ def q_ds_ampm(spark, sf):
     return canonical.latest_downstream_time(ds)
 
 
+# The whole chain in the scheduled run's mode: see FIXTURE_CONFIG_HOST_ZONE.
+HOST = C.FIXTURE_CONFIG_HOST_ZONE
+
+
+@register("daily_entries_host_zone", "SELECT * FROM daily", HOST)
+def q_daily_host(spark, sf):
+    return tables(spark, sf, HOST).daily
+
+
+@register("run_stats_host_zone", "SELECT * FROM run_stats", HOST)
+def q_run_stats_host(spark, sf):
+    return tables(spark, sf, HOST).run_stats
+
+
+@register("year_to_date_host_zone", "SELECT * FROM ytd", HOST)
+def q_ytd_host(spark, sf):
+    return tables(spark, sf, HOST).year_to_date
+
+
 # ------------------------------------------ second fixture point: mid-year
 # as_of = 2000-09-01: the mid-year species' current spawn year is 2001 while
 # every other species is in 2000, so the per-species key, the Jul-Dec
