@@ -442,3 +442,18 @@ def test_fill_down_takes_days_in_order_on_one_dummy_day(spark):
     df = spark.createDataFrame(rows, "k string, dummy_date date, sfc_final_date date, v int")
     got = fill_down(df, ["k"], ["dummy_date", "sfc_final_date"], ["v"]).filter("dummy_date = date'1976-01-02'").collect()
     assert [r.v for r in got] == [2]
+
+
+def test_host_zone_run_differs_from_the_local_one(spark, sf_dir):
+    from runtally import registry
+    local, host = (sorted(map(str, registry.QUERIES[q](spark, sf_dir).collect())) for q in ("daily_entries", "daily_entries_host_zone"))
+    assert host and local != host
+
+
+def test_length_frequency_totals_over_bins(spark):
+    from runtally.plans import dashboard
+    rows = [("a", 254.0, "Adult"), ("a", 254.0, "Adult"), ("a", 508.0, "Adult"), ("a", 10.0, "Juvenile"), ("a", None, "Adult"),
+            ("b", 25.4, "Adult"), (None, 100.0, "Adult")]
+    df = spark.createDataFrame(rows, "species string, length_mm double, release_lifestage string")
+    got = sorted((r.species, r.length_bin_in, r.freq, r.total_sample, round(r.mean_length, 6)) for r in dashboard.length_frequency(df).collect())
+    assert got == [("a", 10.0, 2, 3, 338.666667), ("a", 20.0, 1, 3, 338.666667), ("b", 1.0, 1, 1, 25.4)]
