@@ -6,7 +6,8 @@ a stage returns is written as Parquet into the shared folder and read again, so
 lost executor costs at most the stage that runs.
 
 1. quality classifier: documents that it rejects (toxic or poor) go;
-2. SimHash near-dedup: of each component the document with the smallest doc_id stays;
+2. SimHash near-dedup: of each component the document with the smallest doc_id stays,
+   one row of it where rows repeat;
 3. benchmark decontamination: documents that hold a benchmark window go;
 4. mix: a document is returned as often (0 to 2 times) as the mix takes it;
 5. sharding: ``SHARDS`` shards of near equal bytes.
@@ -20,7 +21,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from runtally.llm import decontaminate, kd_shards, ordinal_quality, simhash_vptree, source_mix
 from runtally.llm.common import shared_folder, table
@@ -32,9 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash_vptree.simhash_groups(docs, SIMHASH_WIDTH, SIMHASH_BITS)
-    stays = groups.select(F.col("component_id").alias("__stays")).distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(stays["__stays"]), "left_semi")
+    return simhash_vptree.kept_rows(docs, SIMHASH_WIDTH, SIMHASH_BITS)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

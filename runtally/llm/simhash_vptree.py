@@ -24,9 +24,11 @@ node per level at distance 2, so work grows as about the power 1.5 of the distin
 fingerprints, which is what this index gives.
 
 Defined cases: a null text is an empty one; rows without words share fingerprint
-zero and are linked like others; rows that repeat a doc_id are one node; a null
-doc_id never names a component unless nothing else does (then null); an empty
-table gives an empty result; only ``doc_id`` and ``text`` are read.
+zero and are linked like others; rows that repeat a doc_id are rows like others,
+linked by their own texts; a null doc_id never names a component unless nothing
+else does (then null); an empty table gives an empty result; only ``doc_id`` and
+``text`` are read. ``kept_rows`` leaves exactly one row of each component, also
+where doc_ids repeat or are null.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from runtally.llm.common import materialise
+from runtally.llm.common import materialise, number_rows
 
 LEAF = 8192  # fingerprints of a leaf, about
 SAMPLE = 1 << 14  # fingerprints that shape the first tree
@@ -252,3 +254,23 @@ def simhash_groups(docs: DataFrame, width: int, reach: int, leaf: int = LEAF) ->
     named = materialise(named)
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(named.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def kept_rows(docs: DataFrame, width: int, reach: int) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: that of the smallest doc_id.
+
+    Where doc_ids repeat or are null they don't name rows: then rows are numbered
+    by doc_id (null last), text and the other columns, and these numbers do.
+    """
+    unclear = docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        groups = simhash_groups(docs, width, reach)
+        stays = groups.select(F.col("component_id").alias("__stays")).distinct()
+        return docs.join(stays, docs["doc_id"] == stays["__stays"], "left_semi")
+    row = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    rows = rows.select("*", F.isnull("id").alias("unknown"), F.to_json("row").alias("rest"))
+    rows = materialise(number_rows(rows, [], ["unknown", "id", "text", "rest"], "place").select("row", "text", "place"))
+    groups = simhash_groups(rows.select(F.col("place").alias("doc_id"), "text"), width, reach)
+    stays = groups.select(F.col("component_id").alias("stays")).distinct()
+    return rows.join(stays, F.col("place") == F.col("stays"), "left_semi").select("row.*")

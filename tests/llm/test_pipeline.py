@@ -57,3 +57,16 @@ def test_odd_rows_pass_every_stage(spark, sf_dir, odd_docs, no_docs):
             out = stage(spark, docs, sf_dir)
             assert out.columns[:len(docs.columns)] == docs.columns
             assert out.select(F.count(F.lit(1))).first()[0] >= 0
+
+
+def test_one_row_of_each_near_duplicate_group_stays(spark, sf_dir, odd_docs):
+    docs = odd_docs.filter("doc_id IS NULL OR doc_id <> 11").unionByName(odd_docs.filter("doc_id = 11"))
+    docs = docs.unionByName(docs.filter("doc_id = 9").selectExpr("doc_id", "'quite another text of id nine' AS text", *docs.columns[2:]))
+    out = P.near_duplicates(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    # numbers by (doc_id, null last; text) name the rows
+    rows = sorted(((r.doc_id is None, r.doc_id or 0, r.text is not None, r.text or "") for r in docs.collect()))
+    least = brute_components([brute_simhash(r[3], 3) for r in rows], list(range(len(rows))), 2)
+    want = Counter((rows[k][1] or None, rows[k][3]) for k in set(least))
+    assert Counter((r.doc_id, r.text or "") for r in out.collect()) == want
+    assert max(want.values()) == 1 and sum(1 for d, _ in want if d == 9) == 2
