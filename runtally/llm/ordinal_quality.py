@@ -99,14 +99,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
 
 
-def fit(rows: list[list[int]], grades: np.ndarray) -> Model | None:
-    """Maximum penalised likelihood of the cumulative-link model."""
+def fit(rows: list, grades: np.ndarray) -> Model | None:
+    """Maximum penalised likelihood of the cumulative-link model; ``rows``: hashed columns of each document."""
     weights = np.zeros(1 << HASH_BITS)
     n = len(rows)
     if len(np.unique(grades)) < 2:
         return None
-    cols = np.fromiter((c for r in rows for c in r), np.int64)
-    at = np.repeat(np.arange(n), [len(r) for r in rows])
+    cols = np.concatenate([np.asarray(r, np.int32) for r in rows])
+    at = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     # screening: mean grade of a column's documents against the overall mean
     docs = np.bincount(cols, minlength=len(weights))
     mean, spread = grades.mean(), grades.std()
@@ -115,7 +115,7 @@ def fit(rows: list[list[int]], grades: np.ndarray) -> Model | None:
     number = np.full(len(weights), -1)
     number[kept] = np.arange(len(kept))
     inside = number[cols] >= 0
-    at, cols = at[inside], number[cols[inside]]
+    at, cols = at[inside].astype(np.int64), number[cols[inside]]
     # thresholds as a first one and log gaps keep their order; Adam on the mean log-likelihood
     share = np.array([np.mean(grades >= k) for k in range(1, GRADES)]).clip(1e-3, 1 - 1e-3)
     cuts = np.log((1 - share) / share)
@@ -144,12 +144,13 @@ def fit(rows: list[list[int]], grades: np.ndarray) -> Model | None:
 
 
 def _featured(rows: DataFrame) -> DataFrame:
+    """grade, cols: columns of each text as packed 32-bit integers, which keeps the driver's share small."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = [features(t.as_py()) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("grade"), pa.array(cols, pa.list_(pa.int32()))], ["grade", "cols"])
+            cols = [np.array(features(t.as_py()), "<i4").tobytes() for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("grade"), pa.array(cols, pa.binary())], ["grade", "cols"])
 
-    return rows.select("grade", "text").mapInArrow(task, "grade int, cols array<int>")
+    return rows.select("grade", "text").mapInArrow(task, "grade int, cols binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Model | None:
@@ -162,8 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Model |
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), F.col("doc_id") == F.col("rated"))  # at most ``limit`` rows
     rows = rows.groupBy("rated", "grade").agg(F.min("text").alias("text"))  # of a repeated doc_id one text
-    got = sorted((tuple(r.cols), r.grade) for r in _featured(rows).collect())
-    return fit([list(c) for c, _ in got], np.array([g for _, g in got], np.int64)) if got else None
+    got = sorted((bytes(r.cols), r.grade) for r in _featured(rows).collect())
+    return fit([np.frombuffer(c, "<i4") for c, _ in got], np.array([g for _, g in got], np.int64)) if got else None
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
