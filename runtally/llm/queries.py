@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runtally.llm import (
-    decontaminate, exact_dedup, kd_shards, ordinal_quality, quote_threads, simhash_vptree, source_mix, suffix_dedup,
-    token_files, url_templates,
+    decontaminate, exact_dedup, fill_middle, kd_shards, ordinal_quality, quote_threads, simhash_vptree, source_mix,
+    suffix_dedup, token_files, url_templates,
 )
 from runtally.llm.common import table
 
@@ -102,3 +102,10 @@ def op9(spark, sf):
 @register("op10_quote_threads", quote_threads.reply_order_sql())
 def op10(spark, sf):
     return quote_threads.reply_order(table(spark, sf, "conversations"))
+
+
+@register("op12_fill_middle", fill_middle.fill_in_middle_sql())
+def op12(spark, sf):
+    out = fill_middle.fill_in_middle(table(spark, sf, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))

@@ -43,8 +43,9 @@ def test_every_number_is_registered_and_runs(spark, sf_dir, name):
     assert queries.QUERIES[name](spark, sf_dir).count() > 0
 
 
-def test_ten_operators():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+def test_each_number_once():
+    numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES]
+    assert len(numbers) == len(set(numbers)) and set(numbers) >= set(range(1, 11))
 
 
 # ------------------------------------------------------------------ 1
