@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runtally.llm import (
     decontaminate, exact_dedup, fill_middle, kd_shards, ordinal_quality, quote_threads, simhash_vptree, source_mix,
-    suffix_dedup, token_files, url_templates,
+    suffix_dedup, token_files, url_templates, whitening,
 )
 from runtally.llm.common import table
 
@@ -109,3 +109,8 @@ def op12(spark, sf):
     out = fill_middle.fill_in_middle(table(spark, sf, "documents"))
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                       F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@register("op13_whitening")
+def op13(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
