@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runtally.llm import (
-    decontaminate, exact_dedup, fill_middle, kd_shards, ordinal_quality, quote_threads, simhash_vptree, source_mix,
+    decontaminate, exact_dedup, fill_middle, html_extract, kd_shards, ordinal_quality, quote_threads, simhash_vptree, source_mix,
     suffix_dedup, token_files, url_templates, whitening,
 )
 from runtally.llm.common import table
@@ -104,6 +104,12 @@ def op10(spark, sf):
     return quote_threads.reply_order(table(spark, sf, "conversations"))
 
 
+@register("op11_html_main_text")
+def op11(spark, sf):
+    pages = table(spark, sf, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
+
+
 @register("op12_fill_middle", fill_middle.fill_in_middle_sql())
 def op12(spark, sf):
     out = fill_middle.fill_in_middle(table(spark, sf, "documents"))
