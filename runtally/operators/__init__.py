@@ -4,7 +4,7 @@ names are arguments, so the domain pipelines are only compositions."""
 from runtally.operators.densify import complete_dates, complete_dates_join, date_grid, zero_fill
 from runtally.operators.ordered import first_by, first_by_where, last_by_where, top1_by_key
 from runtally.operators.relational import (
-    flag_members,
+    filter_member_or,
     median_min_max,
     pivot_values,
     union_all,
@@ -19,7 +19,7 @@ from runtally.operators.running import (
 
 __all__ = [
     "complete_dates", "complete_dates_join", "date_grid", "fill_down", "first_by",
-    "first_by_where", "flag_members", "group_total",
+    "first_by_where", "filter_member_or", "group_total",
     "last_by_where", "median_min_max", "pivot_values", "running_total",
     "share_of_total", "top1_by_key", "union_all", "with_scalar", "zero_fill",
 ]

@@ -16,17 +16,28 @@ def union_all(dfs: Sequence[DataFrame], allow_missing: bool = False) -> DataFram
     return out
 
 
-def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str) -> DataFrame:
-    """Add a boolean ``flag``: is ``df[key]`` in ``members[key]``?
+# A member meets the rows of its key in so many parts, so that no key's rows need one task.
+SPREAD = 8
 
-    The member side is made distinct on ``key`` (a partial aggregate), so the
-    left join never multiplies rows; NULL keys match NULL members like the
-    source's ``%in%``. The planner can then evaluate ``flag OR ...`` filters,
-    i.e. an EXISTS inside a disjunction.
+
+def filter_member_or(df: DataFrame, members: DataFrame, key: str, other: Column, spread_by: str | None = None) -> DataFrame:
+    """Rows whose ``key`` is among ``members[key]`` OR for which ``other`` holds: an EXISTS inside a disjunction.
+
+    The subquery becomes an existence join, which never multiplies rows and needs no
+    distinct members; NULL keys match NULL members, like the source's ``%in%``. A small
+    member side is broadcast by the planner or at run time. Else both sides are shuffled on the key
+    and the key's part: ``spread_by`` (a column or struct that differs between the rows of a key)
+    deals them over ``SPREAD`` parts and members go to each, as run-time skew handling
+    does not split existence joins.
     """
-    m = members.select(F.col(key).alias("_member_key")).distinct().withColumn(flag, F.lit(True))
-    joined = df.join(m, df[key].eqNullSafe(m["_member_key"]), "left").drop("_member_key")
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    member = members.select(F.col(key).alias("_member"))
+    rows = df.withColumn("_member_key", F.col(key))
+    match = F.col("_member").eqNullSafe(F.col("_member_key").outer())
+    if spread_by is not None:
+        member = member.distinct().select("_member", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_member_part"))
+        rows = rows.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int"))
+        match = match & (F.col("_member_part") == F.col("_part").outer())
+    return rows.filter(member.filter(match).exists() | other).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from runtally import config as C
 from runtally.functions import columns as X
 from runtally.operators.ordered import first_by, first_by_where, last_by_where, top1_by_key
-from runtally.operators.relational import flag_members
+from runtally.operators.relational import filter_member_or
 from runtally.operators.running import group_total, running_window, share_of_total
 
 INDIVIDUAL_COLUMNS = (
@@ -48,8 +48,7 @@ def _kept_anyway(cfg: C.RunConfig) -> F.Column:
 def population_live(det: DataFrame, juveniles: DataFrame, cfg: C.RunConfig) -> DataFrame:
     """OP8 (live): all rows of passing juveniles, plus adult-marked rows and
     rows from the always-kept release sites (EXISTS inside an OR)."""
-    flagged = flag_members(det, juveniles, "pit_id", "_passing")
-    return flagged.filter(F.col("_passing") | _kept_anyway(cfg)).drop("_passing")
+    return filter_member_or(det, juveniles, "pit_id", _kept_anyway(cfg), spread_by="ordinal")
 
 
 def mark_attributes(det: DataFrame) -> DataFrame:

@@ -656,8 +656,7 @@ def q_lf_labels(spark, sf):
 def q_semi_or_exists(spark, sf):
     t = tables(spark, sf)
     last_at_gra = canonical.latest_downstream(t.downstream).filter(F.col("ds_site") == "GRA")
-    flagged = relational.flag_members(t.detections, last_at_gra, "pit_id", "_seen_downstream")
-    return flagged.filter(F.col("_seen_downstream") | (F.col("release_lifestage") == "Adult")).drop("_seen_downstream")
+    return relational.filter_member_or(t.detections, last_at_gra, "pit_id", F.col("release_lifestage") == "Adult", "ordinal")
 
 
 @register(
