@@ -19,7 +19,7 @@ from runtally.functions import columns as X
 from runtally.operators import densify, ordered, relational, running
 from runtally.plans import canonical, completed, dashboard, live, progress
 from runtally.plans.context import RunTables
-from runtally.sources import fixtures
+from runtally.sources import feeds, fixtures, shared
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -726,3 +726,58 @@ def q_top1_global(spark, sf):
 def q_kleene(spark, sf):
     det = tables(spark, sf).detections
     return det.filter(X.not_same_year_juvenile("yrs_at_large", "release_lifestage"))
+
+
+# --------------------------------------------------------- landed files
+# The feeds written as report files into the shared folder and scanned back.
+
+_UTF16 = {"encoding": "UTF-16LE", "line_sep": "\r\n"}
+
+
+def _utf16_report(spark, sf) -> DataFrame:
+    folder = shared.scratch_folder(spark, "report")
+    raw = tables(spark, sf).live_raw
+    feeds.land_report(raw, f"{folder}/live", "live_detections", int(spark.conf.get("spark.sql.shuffle.partitions")), **_UTF16)
+    return feeds.read_report(spark, f"{folder}/live", "live_detections", **_UTF16)
+
+
+@register("report_scan_utf16", f"SELECT {DET_COLS.replace(', ordinal', '')} FROM det")
+def q_report_utf16(spark, sf):
+    return canonical.canonical_detections(_utf16_report(spark, sf)).drop("ordinal")
+
+
+@register(
+    "report_first_by_order",
+    """SELECT pit_id, arg_min_null(observation_sitecode, ordinal) AS first_site, arg_max_null(length_mm, ordinal) AS last_length_mm,
+              count(*) AS n FROM det GROUP BY pit_id""",
+)
+def q_report_order(spark, sf):
+    # report order is the order of the rows in the files
+    det = canonical.canonical_detections(_utf16_report(spark, sf))
+    return det.groupBy("pit_id").agg(ordered.first_by("observation_sitecode", "ordinal").alias("first_site"),
+                                     F.max_by("length_mm", "ordinal").alias("last_length_mm"), F.count(F.lit(1)).alias("n"))
+
+
+@register("report_scan_six_files", "SELECT pit_id, ds_datetime, ds_site FROM ds_latest")
+def q_report_six_files(spark, sf):
+    folder = shared.scratch_folder(spark, "report")
+    paths = feeds.land_report(tables(spark, sf).completed_downstream_raw, f"{folder}/downstream", "completed_downstream", 6)
+    raw = feeds.read_report(spark, paths, "completed_downstream")
+    return canonical.latest_downstream(canonical.downstream_detections(raw))
+
+
+# ------------------------------------------- dashboard dates of the scheduled run
+
+@register("first_entry_date_host_zone", "SELECT min(CAST(timezone('UTC', timezone('America/Los_Angeles', sfc_entry_final)) AS DATE)) AS slider_min FROM individuals_live", HOST)
+def q_first_entry_host(spark, sf):
+    return dashboard.first_entry_date(tables(spark, sf, HOST).individuals, HOST.entry_date_zone)
+
+
+@register(
+    "new_last_week_host_zone",
+    f"""SELECT species, count(*) AS n_new FROM individuals_live
+        WHERE CAST(timezone('UTC', timezone('America/Los_Angeles', sfc_entry_final)) AS DATE) >= {O.AS_OF} - 7 GROUP BY species""",
+    HOST,
+)
+def q_new_last_week_host(spark, sf):
+    return dashboard.new_last_week(tables(spark, sf, HOST).individuals, HOST, HOST.entry_date_zone)

@@ -3,19 +3,23 @@
 Each feed has an explicit schema (no inference) and a header -> raw-name
 map. Raw names are shared by all feeds so one canonicalisation serves them
 all. Report row order matters to "first"/"last" semantics, so every row gets
-an ``ordinal``: (rank of the file in the caller's list, byte offset of the
+an ``ordinal``: (rank of the path in the caller's list, file, byte offset of the
 split, position within the split). Files stay splittable; the ordinal
-orders rows across splits of the same file.
+orders rows across splits of the same file. All files of a report are one scan:
+the rank of a row's file is read off its path.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runtally.sources.shared import list_files, named_paths
+
 
 # Raw column names used by the canonicalisation step.
 RAW_COLUMNS = (
@@ -82,32 +86,40 @@ def read_report(
     line_sep: str | None = None,
 ) -> DataFrame:
     """Read one report feed from one or more landed files (union ALL in the
-    given file order). UTF-16LE reports need ``encoding="UTF-16LE"`` and
+    given path order, one scan). UTF-16LE reports need ``encoding="UTF-16LE"`` and
     ``line_sep="\\r\\n"``; a byte-order mark, if present, is dropped. Columns a
     feed lacks are NULL, so every feed can go to every job."""
     headers = FEEDS[feed]
     paths = [paths] if isinstance(paths, str) else list(paths)
-    schema = feed_schema(headers)
-    parts = []
-    for rank, path in enumerate(paths):
-        reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-        if encoding:
-            reader = reader.option("encoding", encoding)
-        if line_sep:
-            reader = reader.option("lineSep", line_sep)
-        df = reader.csv(path)
-        ordinal = F.struct(
-            F.lit(rank).alias("file_rank"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        parts.append(df.select(*[F.col(f"`{h}`").alias(r) for h, r in headers.items()],
-                               ordinal.alias("ordinal")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return standardise(out)
+    reader = spark.read.schema(feed_schema(headers)).option("header", True).option("mode", "PERMISSIVE")
+    if encoding:
+        reader = reader.option("encoding", encoding)
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
+    ordinal = F.struct(
+        _file_rank(spark, paths).alias("file_rank"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = reader.csv(paths)
+    return standardise(rows.select(*[F.col(f"`{h}`").alias(r) for h, r in headers.items()], ordinal.alias("ordinal")))
+
+
+def _one_slash(uri: str) -> str:
+    return re.sub(r"^(\w+):/+", r"\1:/", uri)
+
+
+def _file_rank(spark: SparkSession, paths: Sequence[str]) -> Column:
+    """Place of the row's file in ``paths`` (files, folders or globs); a file that several stand for has the first place."""
+    if len(paths) == 1:
+        return F.lit(0)
+    here, rank = F.regexp_replace(F.col("_metadata.file_path"), r"^(\w+):/+", "$1:/"), F.lit(None).cast("int")
+    for place in range(len(paths) - 1, -1, -1):
+        for path, is_folder in named_paths(spark, paths[place]):
+            uri = _one_slash(spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toASCIIString())
+            rank = F.when(here.startswith(uri + "/") if is_folder else here == uri, place).otherwise(rank)
+    return rank
 
 
 def standardise(raw: DataFrame) -> DataFrame:
@@ -117,3 +129,12 @@ def standardise(raw: DataFrame) -> DataFrame:
     if "mark_length" not in have:
         cols[RAW_COLUMNS.index("mark_length")] = F.lit(None).cast("double").alias("mark_length")
     return raw.select(*cols, "ordinal")
+
+
+def land_report(raw: DataFrame, folder: str, feed: str, files: int, encoding: str = "UTF-8", line_sep: str = "\n") -> list[str]:
+    """Writes a raw feed as a landed report of at most ``files`` files, in report order; returns their paths in that order."""
+    headers = FEEDS[feed]
+    rows = raw.repartitionByRange(files, "ordinal").sortWithinPartitions("ordinal")
+    rows = rows.select(*[F.col(r).alias(h) for h, r in headers.items()])
+    rows.write.option("header", True).option("encoding", encoding).option("lineSep", line_sep).csv(folder)
+    return list_files(raw.sparkSession, folder)

@@ -36,3 +36,9 @@ def from_wide(df: DataFrame) -> DataFrame:
     """Rename the agency's wide columns and make ``date`` a DATE."""
     return df.select(F.to_date("Date").alias("date"),
                      *[F.col(k).cast("double").alias(v) for k, v in WIDE_COLUMNS.items()])
+
+
+def read_wide(spark: SparkSession, path: str, end: dt.date, start: dt.date = HISTORY_START) -> DataFrame:
+    """Landed wide values (``Date`` and the agency's value columns) of a date range."""
+    days = F.to_date("Date")
+    return from_wide(spark.read.parquet(path).filter((days >= F.lit(start)) & (days <= F.lit(end))))
