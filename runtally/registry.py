@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from runtally import config as C
 from runtally import oracle as O
 from runtally.functions import columns as X
-from runtally.operators import densify, ordered, relational, running
+from runtally.operators import densify, ordered, relational, running, selection
 from runtally.plans import canonical, completed, dashboard, live, progress
 from runtally.plans.context import RunTables
 from runtally.sources import feeds, fixtures, shared
@@ -455,6 +455,12 @@ def q_median_min_max(spark, sf):
         d, ["species", "spawn_year"], "n", {"median": "median_n", "min": "min_n", "max": "max_n"}))
 
 
+@register("median_all_lengths", f"SELECT species, {O._median('length_mm')} AS median_length_mm FROM det GROUP BY species")
+def q_median_all_lengths(spark, sf):
+    # over every detection of a species: groups without a bound
+    return selection.exact_median(tables(spark, sf).detections, ["species"], "length_mm", "median_length_mm")
+
+
 @register(
     "half_even_percent",
     """SELECT species, spawn_year, sfc_final_date, CAST(round_even(daily_prop * 100.0, 0) AS DOUBLE) AS daily_percent
