@@ -16,10 +16,12 @@ from runtally.operators.running import (
     running_total,
     share_of_total,
 )
+from runtally.operators.segmented import fill_down_segmented, running_total_segmented
+from runtally.operators.selection import exact_median
 
 __all__ = [
-    "complete_dates", "complete_dates_join", "date_grid", "fill_down", "first_by",
+    "complete_dates", "complete_dates_join", "date_grid", "exact_median", "fill_down", "fill_down_segmented", "first_by",
     "first_by_where", "filter_member_or", "group_total",
     "last_by_where", "median_min_max", "pivot_values", "running_total",
-    "share_of_total", "top1_by_key", "union_all", "with_scalar", "zero_fill",
+    "running_total_segmented", "share_of_total", "top1_by_key", "union_all", "with_scalar", "zero_fill",
 ]

@@ -2,8 +2,8 @@
 
 These run on already-aggregated daily tables (at most species x years x
 366 rows, whatever the detection volume), so a window partition is small
-by construction. For a group total on raw rows use ``group_total_agg``,
-which aggregates first and joins the total back.
+by construction. Running totals and fill-down over groups without a bound are in
+``segmented``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order(order: Sequence[Column | str]) -> list[Column]:
+def ordering(order: Sequence[Column | str]) -> list[Column]:
     out = []
     for o in order:
         c = F.col(o) if isinstance(o, str) else o
@@ -25,7 +25,7 @@ def _order(order: Sequence[Column | str]) -> list[Column]:
 def running_window(partition: Sequence[str], order: Sequence[Column | str]):
     return (
         Window.partitionBy(*partition)
-        .orderBy(*_order(order))
+        .orderBy(*ordering(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
 

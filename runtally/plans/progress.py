@@ -18,7 +18,9 @@ from runtally.functions import columns as X
 from runtally.operators.densify import complete_dates, zero_fill
 from runtally.operators.running import fill_down, group_total, running_window
 
-FILL_COLUMNS = ("sy_total", "cumulative_total", "daily_prop", "daily_cumulative")
+# Fixed output columns. Totals are carried forward; daily_prop is zero-filled before.
+CARRIED_COLUMNS = ("sy_total", "cumulative_total", "daily_cumulative")
+SHARE_COLUMNS = ("sy_total", "cumulative_total", "daily_prop", "daily_cumulative")
 
 
 def with_dummy_calendar(daily: DataFrame, cfg: C.RunConfig) -> DataFrame:
@@ -44,9 +46,9 @@ def complete_daily(daily_completed: DataFrame, cfg: C.RunConfig) -> DataFrame:
     out = complete_dates(d, keys, "dummy_date", F.min("min_dummy"), F.max("max_date"))
     out = out.drop("min_dummy", "max_date")
     out = zero_fill(out, ["n", "daily_prop"])
-    out = fill_down(out, keys, ["dummy_date", "sfc_final_date"], FILL_COLUMNS)
+    out = fill_down(out, keys, ["dummy_date", "sfc_final_date"], CARRIED_COLUMNS)
     return out.select(
-        "species", "spawn_year", "dummy_date", "sfc_final_date", "n", *FILL_COLUMNS, "current_sy", "day_of_year"
+        "species", "spawn_year", "dummy_date", "sfc_final_date", "n", *SHARE_COLUMNS, "current_sy", "day_of_year"
     )
 
 
@@ -57,9 +59,9 @@ def complete_current(daily: DataFrame, cfg: C.RunConfig) -> DataFrame:
     out = complete_dates(d, ["species"], "dummy_date", F.min("dummy_date"), F.max("max_date"))
     out = out.drop("max_date")
     out = zero_fill(out, ["n", "daily_prop"])
-    out = fill_down(out, ["species"], ["dummy_date", "sfc_final_date"], [*FILL_COLUMNS, "spawn_year"])
+    out = fill_down(out, ["species"], ["dummy_date", "sfc_final_date"], [*CARRIED_COLUMNS, "spawn_year"])
     return out.select(
-        "species", "dummy_date", "sfc_final_date", "spawn_year", "n", *FILL_COLUMNS, "day_of_year"
+        "species", "dummy_date", "sfc_final_date", "spawn_year", "n", *SHARE_COLUMNS, "day_of_year"
     )
 
 

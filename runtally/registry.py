@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from runtally import config as C
 from runtally import oracle as O
 from runtally.functions import columns as X
-from runtally.operators import densify, ordered, relational, running, selection
+from runtally.operators import densify, ordered, relational, running, segmented, selection
 from runtally.plans import canonical, completed, dashboard, live, progress
 from runtally.plans.context import RunTables
 from runtally.sources import feeds, fixtures, shared
@@ -290,7 +290,7 @@ def q_species_daily(spark, sf):
 @register(
     "species_cumulative",
     f"""SELECT * FROM ytd WHERE species = '{SPECIES_PARAM}'
-          AND (spawn_year < {CFG.current_spawn_year(SPECIES_PARAM)} OR spawn_year = {CFG.current_spawn_year(SPECIES_PARAM)})""",
+          AND (spawn_year < {O._cur_sy()} OR spawn_year = {O._cur_sy()})""",
 )
 def q_species_cumulative(spark, sf):
     return dashboard.species_cumulative(tables(spark, sf).year_to_date, CFG, SPECIES_PARAM)
@@ -374,6 +374,31 @@ def q_running_total(spark, sf):
     return running.running_total(d, ["species"], ["sfc_final_date", "spawn_year"], "n", "running_n")
 
 
+@register(
+    "running_total_detections",
+    # over the detections themselves: groups without a bound
+    """SELECT pit_id, ordinal, species, sum(length_mm_n) OVER (PARTITION BY species ORDER BY observation_datetime NULLS LAST, ordinal
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS running_measured
+       FROM (SELECT *, CASE WHEN length_mm IS NULL THEN 0 ELSE 1 END AS length_mm_n FROM det)""",
+)
+def q_running_detections(spark, sf):
+    det = tables(spark, sf).detections.select("pit_id", "ordinal", "species", "observation_datetime",
+                                              F.when(F.col("length_mm").isNull(), 0).otherwise(1).cast("long").alias("measured"))
+    out = segmented.running_total_segmented(det, ["species"], ["observation_datetime", "ordinal"], "measured", "running_measured")
+    return out.select("pit_id", "ordinal", "species", "running_measured")
+
+
+@register(
+    "fill_down_detections",
+    """SELECT pit_id, ordinal, species, last_value(length_mm IGNORE NULLS) OVER (PARTITION BY species
+              ORDER BY observation_datetime NULLS LAST, ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS length_mm
+       FROM det""",
+)
+def q_fill_detections(spark, sf):
+    det = tables(spark, sf).detections.select("pit_id", "ordinal", "species", "observation_datetime", "length_mm")
+    return segmented.fill_down_segmented(det, ["species"], ["observation_datetime", "ordinal"], ["length_mm"]).drop("observation_datetime")
+
+
 @register(
     "share_of_total",
     """SELECT species, spawn_year, sfc_final_date, n,
