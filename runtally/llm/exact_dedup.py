@@ -8,17 +8,21 @@
 3. Incoming digests are first grouped among themselves (duplicates inside the
    new batch) and the distinct ones screened bucket by bucket. A miss is
    certainly new; only positives join the snapshot's exact buckets.
-4. Digests that hold more than one row are checked byte by byte: their texts are
-   grouped by the text itself (copies collapse before the shuffle). Texts that
-   differ under one digest are told apart by the text.
+4. Digests that hold more than one row are checked byte by byte: only texts with such a
+   digest are read off the rows, and grouped by the text itself (copies collapse before the
+   shuffle). Texts that differ under one digest are told apart by the text.
+
+``write_snapshot`` stores a snapshot once: its filters, and its distinct texts with their
+digests as exact buckets. ``dedup_batch`` screens a new batch against any number of stored
+snapshots. ``exact_dedup`` does both for one table, part of which plays the snapshot.
 
 A group of copies collapses in each task before any shuffle; the join that gives
 every row its group is one that Spark may split where a digest is hot.
 
 Defined cases: a null text is an empty one, and all empty texts are equal; of
 equal texts the one with most code points stays, then the smallest doc_id (null
-last); rows that repeat the winner's doc_id in its group count as that document
-and stay; an empty table, or an empty snapshot, is fine; only ``doc_id`` and
+last); any doc_id of a long is fine; rows that repeat the winner's doc_id in its group count
+as that document and stay; a digest's text in two snapshots counts in both; an empty table, or an empty snapshot, is fine; only ``doc_id`` and
 ``text`` are read, so other columns cannot clash.
 """
 
@@ -32,10 +36,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runtally.llm.common import SPACES, materialise
+from runtally.llm.common import SPACES, materialise, ship
 
 BUCKET = 50_000
 SEEDS = 64
+SENT_DIGESTS = 200_000  # digests that may be sent to every task, under 20 MB
 
 
 def normalised(text: Column) -> Column:
@@ -157,8 +162,31 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
 
 
 def _best(rows: Column, doc_id: Column) -> Column:
-    """Orders by most code points, then smallest id, null ids last."""
-    return F.struct(rows.alias("length"), (~F.isnull(doc_id)).alias("known"), (-doc_id).alias("minus"))
+    """The row that stays has the smallest of these: most code points, then smallest id, null ids last."""
+    return F.struct((-rows).alias("minus_length"), F.isnull(doc_id).alias("unknown"), doc_id.alias("doc_id"))
+
+
+def _counted() -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.min(_best(F.col("length"), F.col("doc_id"))).alias("best")]
+
+
+def _summed() -> list[Column]:
+    return [F.sum("n").alias("n"), F.min("best").alias("best")]
+
+
+def _rows(docs: DataFrame, digest, *more: Column) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(normalised(F.col("text"))).alias("digest"),
+                       F.coalesce(F.length("text"), F.lit(0)).alias("length"), *more)
+
+
+def _texts(docs: DataFrame, digest, of: DataFrame) -> DataFrame:
+    """doc_id, length, digest, bytes of the rows whose digest is in ``of`` (distinct digests)."""
+    ship(docs.sparkSession)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.length("text"), F.lit(0)).alias("length"),
+                      normalised(F.col("text")).alias("bytes"))
+    # few digests go to the rows, so that texts without one are never shuffled; many meet them by digest
+    wanted = F.broadcast(of) if of.count() <= SENT_DIGESTS else of
+    return own.withColumn("digest", digest(F.col("bytes"))).join(wanted, "digest", "left_semi")
 
 
 def exact_dedup(docs: DataFrame, in_snapshot: Column, digest=sha256) -> DataFrame:
@@ -167,11 +195,9 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column, digest=sha256) -> DataFram
     ``in_snapshot``: which rows are the stored snapshot; the others are the new
     batch. ``digest``: from the normalised text to bytes, at least 8 of them.
     """
-    rows = materialise(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), digest(normalised(F.col("text"))).alias("digest"),
-        F.coalesce(F.length("text"), F.lit(0)).alias("length"), in_snapshot.alias("stored")))
-    grouped = materialise(rows.groupBy("digest", "stored").agg(
-        F.count(F.lit(1)).alias("n"), F.max(_best(F.col("length"), F.col("doc_id"))).alias("best")))
+    ship(docs.sparkSession)
+    rows = materialise(_rows(docs, digest, F.coalesce(in_snapshot, F.lit(False)).alias("stored")))
+    grouped = materialise(rows.groupBy("digest", "stored").agg(*_counted()))
     stored, incoming = grouped.filter("stored").drop("stored"), grouped.filter("NOT stored").drop("stored")
 
     buckets = max(1, math.ceil(stored.count() / BUCKET))
@@ -181,32 +207,70 @@ def exact_dedup(docs: DataFrame, in_snapshot: Column, digest=sha256) -> DataFram
         stored.select("digest", F.col("n").alias("stored_n"), F.col("best").alias("stored_best")), "digest"))
 
     # one row per digest: met ones with both sides, then what is only stored or only new
-    groups = met.select("digest", (F.col("n") + F.col("stored_n")).alias("n"), F.greatest("best", "stored_best").alias("best"))
+    groups = met.select("digest", (F.col("n") + F.col("stored_n")).alias("n"), F.least("best", "stored_best").alias("best"))
     for side in (stored, incoming):
         groups = groups.unionByName(side.join(met.select("digest"), "digest", "left_anti"))
 
-    collided = materialise(_collisions(docs, groups.filter("n > 1").select("digest"), digest))
+    shared = materialise(groups.filter("n > 1").select("digest"))
+    exact = _texts(docs, digest, shared).groupBy("digest", "bytes").agg(*_counted())
+    return _resolved(docs, rows, groups, exact, digest)
+
+
+def write_snapshot(docs: DataFrame, folder: str, digest=sha256) -> None:
+    """Stores an immutable snapshot: its exact buckets (bucket, digest, bytes, n, best) and the filter of each."""
+    spark = docs.sparkSession
+    ship(spark)
+    own = _rows(docs, digest, normalised(F.col("text")).alias("bytes"))
+    distinct = materialise(own.groupBy("digest", "bytes").agg(*_counted()))
+    buckets = max(1, math.ceil(distinct.count() / BUCKET))
+    bucket = bucket_of(F.col("digest"), buckets)
+    distinct.withColumn("bucket", bucket).repartition("bucket").write.parquet(f"{folder}/texts")
+    filters = snapshot_filters(distinct.select("digest").distinct(), buckets)
+    filters.withColumn("buckets", F.lit(buckets)).write.parquet(f"{folder}/filters")
+
+
+def dedup_batch(batch: DataFrame, snapshots: list[str], digest=sha256) -> DataFrame:
+    """One row per row of ``batch``: doc_id, keep_id, group_size, kept, digest, with the stored copies counted in.
+
+    ``snapshots``: folders of ``write_snapshot``. Their filters are read, never built again.
+    """
+    spark = batch.sparkSession
+    ship(spark)
+    rows = materialise(_rows(batch, digest))
+    mine = materialise(rows.groupBy("digest").agg(*_counted()))
+    stored = None
+    for folder in snapshots:
+        filters = spark.read.parquet(f"{folder}/filters")
+        first = filters.select("buckets").first()
+        positive = screen(mine.select("digest"), filters, first.buckets if first else 1)
+        met = spark.read.parquet(f"{folder}/texts").select("digest", "bytes", "n", "best").join(positive, "digest", "left_semi")
+        stored = met if stored is None else stored.unionByName(met)
+    exact = _texts(batch, digest, materialise(mine.filter("n > 1").select("digest"))).groupBy("digest", "bytes").agg(*_counted())
+    if stored is None:
+        return _resolved(batch, rows, mine, exact, digest)
+    stored = materialise(stored)
+    met = stored.groupBy("digest").agg(F.sum("n").alias("stored_n"), F.min("best").alias("stored_best"))
+    groups = materialise(mine.join(met, "digest", "left").select(
+        "digest", (F.col("n") + F.coalesce("stored_n", F.lit(0))).alias("n"), F.least("best", "stored_best").alias("best"), F.col("stored_n").isNotNull().alias("met")))
+    shared = groups.filter("n > 1 OR met").select("digest")
+    exact = _texts(batch, digest, shared).groupBy("digest", "bytes").agg(*_counted())
+    exact = exact.unionByName(stored).groupBy("digest", "bytes").agg(*_summed())
+    return _resolved(batch, rows, groups.drop("met"), exact, digest)
+
+
+def _resolved(docs: DataFrame, rows: DataFrame, groups: DataFrame, exact: DataFrame, digest) -> DataFrame:
+    """The answer by digest, but by text for digests under which ``exact`` (of all shared digests) has several texts."""
+    collided = exact.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest")
+    collided = materialise(collided)
     out = _answer(rows, groups, ["digest"])
     if collided.isEmpty():
         return out
-    # texts that differ under one digest: the text itself tells their groups apart
-    own = docs.select("doc_id", normalised(F.col("text")).alias("bytes"), F.coalesce(F.length("text"), F.lit(0)).alias("length"))
-    own = own.withColumn("digest", digest(F.col("bytes"))).join(collided, "digest", "left_semi")
-    exact = own.groupBy("digest", "bytes").agg(F.count(F.lit(1)).alias("n"), F.max(_best(F.col("length"), F.col("doc_id"))).alias("best"))
-    apart = _answer(own, exact, ["digest", "bytes"])
+    own = _texts(docs, digest, collided)
+    apart = _answer(own, exact.join(collided, "digest", "left_semi"), ["digest", "bytes"])
     return out.join(collided, "digest", "left_anti").select(apart.columns).unionByName(apart)
 
 
-def _collisions(docs: DataFrame, shared: DataFrame, digest) -> DataFrame:
-    """Byte check: the digests under which more than one text was found."""
-    texts = docs.select(normalised(F.col("text")).alias("bytes")).withColumn("digest", digest(F.col("bytes")))
-    # grouped by the text before anything is joined, so copies collapse in each task
-    distinct = texts.groupBy("digest", "bytes").agg(F.count(F.lit(1)).alias("n")).select("digest")
-    return (distinct.join(shared, "digest", "left_semi")
-            .groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"))
-
-
 def _answer(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    keep = -F.col("best.minus")
+    keep = F.col("best.doc_id")
     return rows.join(groups.select(*keys, F.col("n").alias("group_size"), keep.alias("keep_id")), keys).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
