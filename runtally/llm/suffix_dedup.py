@@ -8,17 +8,19 @@ starts in a document with a smaller doc_id.
    windows name equal anchors at equal places, so only suffixes that start at
    anchors (about every 20th) need sorting. Neighbouring windows with one anchor
    travel together as one piece: the text they cover, 50 to 88 bytes.
-2. *Splitters.* The leading 8 bytes of sampled anchor suffixes give splitters, so
-   that buckets hold about ``BUCKET`` bytes of pieces. Equal leading bytes fall
-   into one bucket, therefore no run of equal suffixes crosses a boundary.
+2. *Splitters.* The leading ``GRAM`` bytes of sampled anchor suffixes give splitters, so
+   that buckets hold about ``BUCKET`` bytes of pieces; a frequent lead of 8 bytes is split by
+   the bytes that follow. Equal leading bytes fall into one bucket, therefore no run of equal
+   suffixes crosses a boundary.
 3. *Sorting.* A bucket sorts its pieces by multikey sort, eight bytes at a time,
    from the anchor on: only runs that still tie are sorted by the next eight.
    Pieces that are equal as a whole are settled by their smallest doc_id; where
    different pieces share an anchor, their windows are sorted and compared.
 4. Covered stretches go back to their documents, which are cut and hashed.
 
-Tasks sort and settle their own pieces before the shuffle, so of a passage that
-many documents share one copy leaves each task, whatever its share of the rows.
+Tasks sort and settle their own pieces before the shuffle, chunk by chunk, so of a passage that
+many documents share one copy leaves each chunk for its bucket, whatever its share of the rows;
+what is settled goes straight to its documents and passes no bucket.
 Pieces and texts travel in compressed blocks. Comparisons are of bytes, never of hashes.
 
 Defined cases: a null text is empty; texts under ``SPAN`` bytes lose nothing; rows
@@ -44,6 +46,7 @@ from runtally.llm.common import ship
 
 SPAN = 50
 GRAM = 12
+PLACE_BITS = 32  # beside the leading bits of a hash; the same for chunks of all sizes, so that all name the same anchors
 CHUNK = 4 << 20  # bytes of text handled at once
 BUCKET = 16 << 20  # bytes of pieces in a bucket
 WINDOWS = 1 << 20  # windows compared at once
@@ -73,7 +76,9 @@ def pieces(buf: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     m = n + SPAN - GRAM
     h = w[:m] * np.uint64(0x9E3779B97F4A7C15) + w[GRAM - 8:m + GRAM - 8] * np.uint64(0xC2B2AE3D27D4EB4F)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    low = np.uint64((1 << 24) - 1)
+    if m >> PLACE_BITS:
+        raise ValueError(f"a chunk of {m} bytes has places beyond {PLACE_BITS} bits; lower CHUNK")
+    low = np.uint64((1 << PLACE_BITS) - 1)
     h = (h & ~low) | np.arange(m, dtype=np.uint64)  # ties go to the left
     width, have = SPAN - GRAM + 1, 1
     while have < width:  # minimum over ``width`` places by doubling
@@ -156,7 +161,8 @@ def _unpack(block: bytes, kinds: str) -> list[np.ndarray]:
 
 
 # A block: pieces (doc_id, anchor's offset, windows, bytes), where they stand
-# (piece, document's key, place), and stretches already settled (key, place, windows).
+# (piece, document's key, place), and stretches already settled (key, place, windows);
+# either the one or the other.
 BLOCK = "<i8 u1 u1 u1 <i8 <i8 <i8 <i8 <i8 u1"
 
 
@@ -190,8 +196,25 @@ def _laid_out(part: list[tuple[int, int, int, bytes]]) -> tuple[np.ndarray, np.n
     return buf, valid, begins[:-1], sizes
 
 
-def chunk_blocks(part: list[tuple[int, int, int, bytes]], splitters: np.ndarray) -> list[tuple[int, bytes]]:
-    """(bucket, block) of one chunk, with its own pieces settled."""
+def _leads(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The GRAM bytes from each place on, in an order that is theirs (bytes 0 at the end do not tell leads apart)."""
+    return np.ndarray((len(buf) - GRAM,), f"S{GRAM}", buf.tobytes(), strides=(1,))[at]
+
+
+def _dealt(key: np.ndarray, place: np.ndarray, into: int) -> Iterator[tuple[int, np.ndarray, slice]]:
+    """(bucket of documents, order, slice of it) of stretches, by key and place inside."""
+    to = key % into
+    by = np.lexsort((place, key, to))
+    edges = np.flatnonzero(np.concatenate(([True], np.diff(to[by]) != 0, [True]))) if len(by) else np.zeros(1, int)
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield int(to[by[a]]), by, slice(a, b)
+
+
+def chunk_blocks(part: list[tuple[int, int, int, bytes]], splitters: np.ndarray, into: int = 1) -> list[tuple[int, bytes]]:
+    """(bucket, block) of one chunk, with its own pieces settled.
+
+    Settled stretches are for the documents: their blocks have bucket -1 - (key mod ``into``).
+    """
     buf, valid, begins, _ = _laid_out(part)
     start, count, anchor = pieces(buf, valid)
     w = _word_at(buf)
@@ -203,24 +226,26 @@ def chunk_blocks(part: list[tuple[int, int, int, bytes]], splitters: np.ndarray)
     settled = doc > _least(order, new, doc)
     run = np.empty(len(order), np.int64)
     run[order] = np.cumsum(new) - 1
-    bucket = np.searchsorted(splitters, w[anchor].astype(np.uint64), "right")
     live = np.flatnonzero(~settled)
     speaks = np.empty(len(order), np.int64)  # of each run the first piece that is still open
     speaks[run[live][::-1]] = live[::-1]
-    out = []
+    out, none = [], np.zeros(0, np.int64)
+    bucket = np.searchsorted(splitters if len(splitters) else np.zeros(0, f"S{GRAM}"), _leads(buf, anchor[live]), "right")
     by = np.argsort(bucket, kind="stable")  # in a bucket by document and place, which packs well
     edges = np.flatnonzero(np.concatenate(([True], np.diff(bucket[by]) != 0, [True]))) if len(by) else []
     for a, b in zip(edges[:-1], edges[1:]):
-        mine = by[a:b]
-        done, live = mine[settled[mine]], mine[~settled[mine]]
-        first = speaks[run[live]]
-        u = live[first == live]  # one piece of each run
+        mine = live[by[a:b]]
+        first = speaks[run[mine]]
+        u = mine[first == mine]  # one piece of each run
         size = count[u] + SPAN - 1
         from_ = np.repeat(start[u] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
         out.append((int(bucket[by[a]]), _pack(
             _steps(doc[u]), (anchor[u] - start[u]).astype(np.uint8), count[u].astype(np.uint8), buf[from_],
-            _steps(np.searchsorted(u, first)), _steps(key[live]), _steps(place[live]),
-            _steps(key[done]), _steps(place[done]), count[done].astype(np.uint8))))
+            _steps(np.searchsorted(u, first)), _steps(key[mine]), _steps(place[mine]), none, none, none.astype(np.uint8))))
+    done = np.flatnonzero(settled)
+    for to, a, b in _dealt(key[done], place[done], into):
+        mine = done[a[b]]
+        out.append((-1 - to, _pack(none, *[none.astype(np.uint8)] * 3, none, none, none, _steps(key[mine]), _steps(place[mine]), count[mine].astype(np.uint8))))
     return out
 
 
@@ -382,18 +407,15 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _chunks(batches):
-            blocks = chunk_blocks(part, splitters.value)
-            yield pa.RecordBatch.from_arrays([pa.array([b[0] for b in blocks], pa.int32()), pa.array([b[1] for b in blocks], pa.binary())], ["bucket", "block"])
+            blocks = chunk_blocks(part, splitters.value, into)
+            yield pa.RecordBatch.from_arrays([pa.array([b[0] for b in blocks], pa.int64()), pa.array([b[1] for b in blocks], pa.binary())], ["bucket", "block"])
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         key, place, windows = settle(group["block"].tolist())
-        to = key % into
-        by = np.lexsort((place, key, to))
-        edges = np.flatnonzero(np.concatenate(([True], np.diff(to[by]) != 0, [True]))) if len(by) else np.zeros(1, int)
-        return pd.DataFrame([(int(to[by[a]]), _pack(_steps(key[by[a:b]]), _steps(place[by[a:b]]), windows[by[a:b]])) for a, b in zip(edges[:-1], edges[1:])],
+        return pd.DataFrame([(to, _pack(_steps(key[by[at]]), _steps(place[by[at]]), windows[by[at]])) for to, by, at in _dealt(key, place, into)],
                             columns=["dealt", "block"])
 
-    made = rows.mapInArrow(make, "bucket int, block binary")
+    made = rows.mapInArrow(make, "bucket long, block binary")
     settled = made.groupBy("bucket").applyInPandas(sort, "dealt long, block binary")
     dealt = rows.mapInArrow(_packer(into), "dealt long, block binary")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -402,17 +424,17 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
 
 def _splitters(rows: DataFrame, total: int, buckets: int) -> np.ndarray:
-    """Ascending leading words between the buckets, from a sample of the documents."""
+    """Ascending leads between the buckets, from a sample of the documents."""
     if buckets == 1:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, f"S{GRAM}")
     every = max(1, int(total // max(SAMPLE, buckets * 4096)))
 
     def leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _chunks(batches):
             buf, valid, _, _ = _laid_out(part)
-            _, count, anchor = pieces(buf, valid)
-            yield pa.RecordBatch.from_arrays([pa.array(_word_at(buf)[anchor].astype(np.uint64).view(np.int64))], ["lead"])
+            _, _, anchor = pieces(buf, valid)
+            yield pa.RecordBatch.from_arrays([pa.array(_leads(buf, anchor).tolist(), pa.binary())], ["lead"])
 
-    sample = rows.filter(F.pmod("key", F.lit(every)) == 0).mapInArrow(leads, "lead long")
-    lead = np.sort(np.array([r.lead for r in sample.collect()], np.int64).view(np.uint64))
+    sample = rows.filter(F.pmod("key", F.lit(every)) == 0).mapInArrow(leads, "lead binary")
+    lead = np.sort(np.array([bytes(r.lead) for r in sample.collect()], f"S{GRAM}"))
     return np.unique(lead[np.linspace(0, len(lead) - 1, buckets + 1).astype(int)[1:-1]]) if len(lead) else lead
