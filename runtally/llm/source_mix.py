@@ -36,6 +36,8 @@ SHARE = 1.5
 REPEATS = 2
 BITS = 12
 HASH_BITS = 60
+SENT_SOURCES = 100_000  # sources whose thresholds may be sent to every task, under 20 MB
+PARTS = 32
 
 
 def words(text: Column) -> Column:
@@ -130,12 +132,21 @@ def thresholds(rows: DataFrame) -> DataFrame:
     return materialise(full)
 
 
+def _with_plan(rows: DataFrame, of: Column, full: DataFrame, row_hash_: Column) -> DataFrame:
+    """Rows with the plan of their source. Few sources go to the rows; many meet them by source, whose rows are
+    dealt over ``PARTS`` so that no source's rows need one task."""
+    if full.count() <= SENT_SOURCES:
+        return rows.join(F.broadcast(full), of.eqNullSafe(full["s"]))
+    dealt = full.select("*", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("__part"))
+    return rows.join(dealt, of.eqNullSafe(dealt["s"]) & (F.pmod(row_hash_, F.lit(PARTS)).cast("int") == dealt["__part"])).drop("__part")
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, taken."""
     rows = sized_rows(docs)
     full = thresholds(rows)
     taken = F.col("size") * (F.col("copies") + (F.col("hash") <= F.col("upto")).cast("long"))
-    return rows.join(full, rows["source"].eqNullSafe(full["s"])).select(
+    return _with_plan(rows, rows["source"], full, rows["hash"]).select(
         "doc_id", "source", "size", "source_size", "target", F.least(taken, REPEATS * F.col("size")).alias("taken"))
 
 
@@ -145,7 +156,7 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     whole = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
                         F.col("source").cast("string").alias("of"), row_hash(F.col("doc_id")).alias("hash"))
     times = F.least(F.col("copies") + (F.col("hash") <= F.col("upto")).cast("long"), F.lit(REPEATS)).cast("int")
-    taken = whole.join(full, F.col("of").eqNullSafe(F.col("s"))).select("row", F.explode(F.array_repeat(F.lit(0), times)))
+    taken = _with_plan(whole, whole["of"], full, whole["hash"]).select("row", F.explode(F.array_repeat(F.lit(0), times)))
     return taken.select("row.*")
 
 
