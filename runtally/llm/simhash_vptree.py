@@ -43,9 +43,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from runtally.llm.common import materialise, number_rows
+from runtally.llm.common import materialise, number_rows, ship
 
 LEAF = 8192  # fingerprints of a leaf, about
+SENT_IDS = 500_000  # ids that may be sent to every task, under 20 MB
 SAMPLE = 1 << 14  # fingerprints that shape the first tree
 LEAST_SAMPLE = 64  # of them in a node that is still cut
 BLOCK = 1 << 21  # pairs compared at once
@@ -159,8 +160,9 @@ def _leaves(fps: DataFrame, reach: int, leaf: int) -> DataFrame:
     """(node, fp): every pair of fingerprints within ``reach`` bits shares a node.
 
     Nodes of the first tree that still hold over ``4 * leaf`` fingerprints (large
-    tables, or dense ones) are cut on, a level a round, by the same rule; a node
-    is left as it is where no cut separates anything.
+    tables, or dense ones) are cut on, a level a round, by the same rule. Where no cut
+    separates anything, a node's fingerprints are dealt into blocks of about ``leaf``, and
+    every pair of blocks is a node of its own: all pairs meet, each in a task of bounded size.
     """
     rows = materialise(_planted(fps, reach, leaf))
     ready = None
@@ -178,7 +180,9 @@ def _leaves(fps: DataFrame, reach: int, leaf: int) -> DataFrame:
         cuts = hist.withColumn("worse", F.greatest("near", "far")).groupBy("node", "n", "point").agg(
             F.min_by("d", F.struct("worse", "d")).alias("radius"), F.min("worse").alias("worse"))
         cuts = materialise(cuts.filter("worse < n").select("node", "point", "radius"))
-        done = rows.join(cuts.select("node"), "node", "left_anti")  # small enough, or no cut helps
+        done = rows.join(large.select("node"), "node", "left_anti")  # small enough
+        whole = large.join(cuts.select("node"), "node", "left_anti")  # no cut helps
+        done = done.unionByName(_block_pairs(rows, whole, leaf))
         ready = done if ready is None else ready.unionByName(done)
         if cuts.isEmpty():
             return ready
@@ -190,6 +194,14 @@ def _leaves(fps: DataFrame, reach: int, leaf: int) -> DataFrame:
     return rows if ready is None else rows.unionByName(ready)
 
 
+def _block_pairs(rows: DataFrame, whole: DataFrame, leaf: int) -> DataFrame:
+    """(node, fp) of the nodes in ``whole`` (node, n): a node for each pair of blocks, a block with itself included."""
+    blocks = F.ceil(F.col("n") / leaf).cast("int")
+    dealt = rows.join(whole.select("node", blocks.alias("blocks")), "node").withColumn("own", F.pmod(F.xxhash64("fp", F.lit("block")), F.col("blocks")).cast("int"))
+    met = dealt.select("node", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return met.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"), F.lit("pair")).alias("node"), "fp")
+
+
 def leaf_links(fps: np.ndarray, reach: int) -> list[tuple[int, int]]:
     """(fp, smallest fp of its cluster) for every fingerprint linked inside a leaf."""
     n = len(fps)
@@ -246,6 +258,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def simhash_groups(docs: DataFrame, width: int, reach: int, leaf: int = LEAF) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp (signed 64 bits), component_id."""
+    ship(docs.sparkSession)
     rows = materialise(fingerprints(docs, width))
     fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     links = _links(_leaves(fps, reach, leaf), reach)
@@ -265,8 +278,10 @@ def kept_rows(docs: DataFrame, width: int, reach: int) -> DataFrame:
     unclear = docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
     if unclear.isEmpty():
         groups = simhash_groups(docs, width, reach)
-        stays = groups.select(F.col("component_id").alias("__stays")).distinct()
-        return docs.join(stays, docs["doc_id"] == stays["__stays"], "left_semi")
+        goes = materialise(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__goes")))
+        # few ids go to the documents; many meet them by id
+        goes = F.broadcast(goes) if goes.count() <= SENT_IDS else goes
+        return docs.join(goes, docs["doc_id"] == goes["__goes"], "left_anti")
     row = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
     rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     rows = rows.select("*", F.isnull("id").alias("unknown"), F.to_json("row").alias("rest"))
