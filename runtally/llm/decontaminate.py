@@ -14,7 +14,8 @@ one slice, so texts are read once and nothing is shuffled.
 
 Defined cases: null and empty texts have no words, no hits and no items; items
 without words match nothing; equal windows of several items count for each item;
-a repeated item_id counts once; repeated rows are judged each; an empty table
+a repeated item_id counts once; a null item_id is an item of its own, the last one in
+``items``, beside one with an empty id; repeated rows are judged each; an empty table
 gives an empty result, an empty benchmark no hits; only ``doc_id``/``item_id``
 and ``text`` are read.
 """
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runtally.llm.common import materialise
+from runtally.llm.common import materialise, ship
 
 WINDOW = 10
 SLICE = 16 << 20
@@ -50,13 +51,13 @@ def windows(text: str | None, width: int) -> set[bytes]:
 
 def build(items: list[tuple[str, str | None]], width: int) -> ahocorasick.Automaton:
     """Windows -> (characters, words, item ids)."""
-    owners: dict[bytes, set[str]] = {}
+    owners: dict[bytes, set[str | None]] = {}
     for item, text in items:
         for w in windows(text, width):
             owners.setdefault(w, set()).add(item)
     a = ahocorasick.Automaton()
     for w, ids in owners.items():
-        a.add_word(w.decode("latin-1"), (len(w), w.count(b" ") - 1, tuple(sorted(ids))))
+        a.add_word(w.decode("latin-1"), (len(w), w.count(b" ") - 1, tuple(ids)))
     if owners:
         a.make_automaton()
     return a
@@ -94,17 +95,20 @@ def _load(packed: bytes) -> ahocorasick.Automaton:
     return build(*pickle.loads(packed))
 
 
-def _slices(benchmark: DataFrame) -> list[list[tuple[str, str | None]]]:
-    """The benchmark in slices of about ``SLICE`` bytes at most; one that fits is a single slice."""
+def _slices(benchmark: DataFrame) -> tuple[int, Iterator[list[tuple[str | None, str | None]]]]:
+    """(number of slices, the slices one after the other) of about ``SLICE`` bytes at most; one that fits is a single slice.
+
+    The driver holds the texts of one slice at a time.
+    """
     b = materialise(benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).distinct())
     size = F.octet_length(F.coalesce("text", F.lit(""))) + 64
     total = b.agg(F.sum(size)).first()[0] or 0
     if total <= SLICE:
-        return [[(r.item or "", r.text) for r in b.collect()]]
+        return 1, iter([[(r.item, r.text) for r in b.collect()]])
     # dealt by hash into slices of half of ``SLICE`` on average, so none is far over it
     count = math.ceil(2 * total / SLICE)
     b = materialise(b.withColumn("slice", F.pmod(F.xxhash64("item", "text"), F.lit(count))))
-    return [[(r.item or "", r.text) for r in b.filter(F.col("slice") == n).collect()] for n in range(count)]
+    return count, ([(r.item, r.text) for r in b.filter(F.col("slice") == n).collect()] for n in range(count))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -114,13 +118,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     the original text, in characters; ``items``: ids, sorted as strings.
     """
     rows = docs.select(F.lit(0).cast("long").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    slices = _slices(benchmark)
-    if len(slices) > 1:  # finds of several scans meet by row
+    ship(docs.sparkSession)
+    count, slices = _slices(benchmark)
+    if count > 1:  # finds of several scans meet by row
         rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()))
     sc = docs.sparkSession.sparkContext
     scans = [rows.mapInArrow(_scanner(sc.broadcast(pickle.dumps((s, width)))), OUT) for s in slices]
     out = functools.reduce(DataFrame.unionByName, scans)
-    if len(slices) == 1:
+    if count == 1:
         return out.drop("row")
     pairs = F.arrays_zip("hits", "starts", "ends")
     united = out.groupBy("row", "doc_id", "n_words").agg(
@@ -131,7 +136,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any hit, with all their columns; nothing is joined."""
-    for s in _slices(benchmark):
+    ship(docs.sparkSession)
+    for s in _slices(benchmark)[1]:
         docs = docs.mapInArrow(_sieve(docs.sparkSession.sparkContext.broadcast(pickle.dumps((s, width)))), docs.schema)
     return docs
 
@@ -153,7 +159,7 @@ def _scanner(packed):
             yield pa.RecordBatch.from_arrays([
                 b.column("row"), b.column("doc_id"), pa.array([g[0] for g in got], pa.int64()),
                 *(pa.array([g[k] for g in got], pa.list_(pa.int32())) for k in (1, 2, 3)),
-                pa.array([sorted(g[4]) for g in got], pa.list_(pa.string()))],
+                pa.array([sorted(g[4], key=lambda i: (i is None, i or "")) for g in got], pa.list_(pa.string()))],
                 ["row", "doc_id", "n_words", "hits", "starts", "ends", "items"])
 
     return task
