@@ -182,8 +182,9 @@ def kd_shards(docs: DataFrame, target_bytes: int | None = None, shards: int | No
 
 
 def sharded_rows(docs: DataFrame, target_bytes: int | None = None, shards: int | None = None, make=dimensions) -> DataFrame:
-    """The rows of ``docs`` with all their columns and, last, their ``shard``."""
+    """The rows of ``docs`` with all their columns and, last, their ``shard``; an old column of that name makes way."""
     points = materialise(docs.select(*_point(make)))
     levels = fit_tree(points, len(make(F.lit(""))), shards or _shards_for(points, target_bytes))
     whole = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), *_point(make))
-    return assign(whole, levels).select("row.*", F.col("node").alias("shard"))
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() != "shard"]
+    return assign(whole, levels).select(*kept, F.col("node").alias("shard"))
