@@ -48,6 +48,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def drop_folder(spark: SparkSession, folder: str, at_end: bool = False) -> None:
+    """Deletes a folder of this run, at once or when the session's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if at_end:
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    else:
+        store.delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder: later steps survive a lost executor."""
     shared_folder(df.sparkSession)

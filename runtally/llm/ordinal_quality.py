@@ -99,6 +99,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
 
 
+def loss_and_gradient(par: np.ndarray, at: np.ndarray, cols: np.ndarray, grades: np.ndarray) -> tuple[float, np.ndarray]:
+    """Penalised mean negative log-likelihood and its gradient.
+
+    ``par``: weights, first threshold, log gaps between thresholds; row ``at[i]`` has feature ``cols[i]``.
+    """
+    n, k = len(grades), len(par) - (GRADES - 1)
+    gaps = np.exp(par[k + 1:])
+    th = np.concatenate([[-np.inf], par[k] + np.concatenate([[0.0], np.cumsum(gaps)]), [np.inf]])
+    score = np.bincount(at, par[cols], n) if len(cols) else np.zeros(n)
+    # P(grade = g) = S(th[g+1] - score) - S(th[g] - score)
+    up, lo = (1 / (1 + np.exp(-np.clip(th[grades + d] - score, -30, 30))) for d in (1, 0))
+    p = np.maximum(up - lo, 1e-12)
+    du, dl = up * (1 - up) / p, lo * (1 - lo) / p
+    ds = (du - dl) / n
+    grad = np.zeros_like(par)
+    if len(cols):
+        grad[:k] = np.bincount(cols, ds[at], k) + RIDGE * par[:k]
+    dth = [(np.sum(dl[grades == g + 1]) - np.sum(du[grades == g])) / n for g in range(GRADES - 1)]
+    grad[k] = sum(dth)
+    grad[k + 1:] = [sum(dth[j + 1:]) * gaps[j] for j in range(len(gaps))]
+    return float(-np.log(p).mean() + RIDGE / 2 * np.sum(par[:k] ** 2)), grad
+
+
 def fit(rows: list, grades: np.ndarray) -> Model | None:
     """Maximum penalised likelihood of the cumulative-link model; ``rows``: hashed columns of each document."""
     weights = np.zeros(1 << HASH_BITS)
@@ -123,20 +146,7 @@ def fit(rows: list, grades: np.ndarray) -> Model | None:
     m, v = np.zeros_like(par), np.zeros_like(par)
     k = len(kept)
     for step in range(1, STEPS + 1):
-        gaps = np.exp(par[k + 1:])
-        th = np.concatenate([[-np.inf], par[k] + np.concatenate([[0.0], np.cumsum(gaps)]), [np.inf]])
-        score = np.bincount(at, par[cols], n) if len(cols) else np.zeros(n)
-        # P(grade = g) = S(th[g+1] - score) - S(th[g] - score)
-        up, lo = (1 / (1 + np.exp(-np.clip(th[grades + d] - score, -30, 30))) for d in (1, 0))
-        p = np.maximum(up - lo, 1e-12)
-        du, dl = up * (1 - up) / p, lo * (1 - lo) / p
-        ds = (du - dl) / n  # of the mean negative log-likelihood
-        grad = np.zeros_like(par)
-        if len(cols):
-            grad[:k] = np.bincount(cols, ds[at], k) + RIDGE * par[:k]
-        dth = [(np.sum(dl[grades == g + 1]) - np.sum(du[grades == g])) / n for g in range(GRADES - 1)]
-        grad[k] = sum(dth)
-        grad[k + 1:] = [sum(dth[j + 1:]) * gaps[j] for j in range(len(gaps))]
+        _, grad = loss_and_gradient(par, at, cols, grades)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         par -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     weights[kept] = par[:k]
