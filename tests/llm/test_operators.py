@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
@@ -73,6 +74,37 @@ def test_templates_learn_from_rules(spark):
     assert got[100].template == "/*/read" and got[100].verdict == "allow"
 
 
+WORDS = [a + b for a in "ba ko ri mu se ta lo ni".split() for b in "dan fel gor him jus kel lat mop".split()]
+
+
+@pytest.mark.parametrize("level", [2, 4, 6, 9])
+def test_varying_segments_become_one_template_at_any_level(spark, level):
+    stem = "/".join(["x", "y", "z", "u", "v", "w", "q", "r"][:level - 1])
+    rows = [(k, f"http://h.org/{stem}/{w}/end") for k, w in enumerate(WORDS)]
+    rules = [("block", f"h.org/{stem}/{w}/") for w in WORDS[:20]]
+    got = url_templates.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    assert {(r.template, r.verdict) for r in got} == {(f"/{stem}/*/end", "block")}
+
+
+def test_two_varying_levels_and_deep_single_paths(spark):
+    rows = [(k, f"http://h.org/a/{w}/{w[::-1]}x") for k, w in enumerate(WORDS)] + [(999, "http://h.org/" + "s/" * 3000)]
+    got = url_templates.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), []).collect()
+    assert {r.template for r in got if r.page_id != 999} == {"/a/*/*"}
+
+
+def test_merging_at_deep_levels_follows_the_twin(spark):
+    """Siblings that are too few to generalise pool by their share of blocked pages, at levels the old tree did not have."""
+    rows = [(100 * k + n, f"http://h.org/a/b/c/d/{w}/t{'uvw'[n % 3]}") for k, w in enumerate(["one", "two", "six", "ten"]) for n in range(12)]
+    rules = [("block", "h.org/a/b/c/d/one/"), ("block", "h.org/a/b/c/d/two/"), ("allow", "h.org/a/b/c/d/six/")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = url_templates.judge_urls(df, rules)
+    con = duckdb.connect()
+    pages = df.toPandas()  # noqa: F841
+    want = con.execute(url_templates.judge_urls_sql(rules)).fetchall()
+    same_rows([tuple(r) for r in got.collect()], want)
+    assert {r.template for r in got.collect()} == {"/a/b/c/d/+5/+5", "/a/b/c/d/six/+0", "/a/b/c/d/ten/+-1"}
+
+
 # ------------------------------------------------------------------ 2
 
 
@@ -103,6 +135,48 @@ def test_byte_check_parts_texts_under_one_digest(odd_docs):
     same_rows(got, want)
 
 
+def test_ids_at_the_ends_of_a_long(spark):
+    rows = [(-(1 << 63), "a"), ((1 << 63) - 1, "a"), (0, "a "), (None, "a"), (-(1 << 63), "b"), (5, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.keep_id, r.group_size, r.kept, bytes(r.digest).hex()) for r in exact_dedup.exact_dedup(df, F.col("doc_id") > 0).collect()]
+    same_rows(got, brute_groups(rows))
+
+
+def brute_batch(batch, stored):
+    members, out = {}, []
+    for side, part in enumerate((batch, *stored)):
+        for d, t in part:
+            members.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((d, len(t or "")))
+    for d, t in batch:
+        same = members[re.sub(r"[\x20\x09-\x0D]", "", t or "")]
+        keep = min(same, key=lambda m: (-m[1], m[0] is None, m[0] or 0))[0]
+        out.append((d, keep, len(same), d == keep))
+    return out
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_batch_against_stored_snapshots(spark, odd_docs, no_docs, tmp_path, weak):
+    digest = (lambda c: F.unhex(F.lpad(F.hex(F.length(c) % 5), 16, "0"))) if weak else exact_dedup.sha256
+    first = odd_docs.filter("doc_id % 3 = 0 OR doc_id IS NULL")
+    second = odd_docs.filter("doc_id % 2 = 0").select((F.col("doc_id") + 100).alias("doc_id"), F.concat("text", F.lit("  ")).alias("text"))
+    folders = [f"file://{tmp_path}/{n}" for n in ("one", "two", "none")]
+    for part, folder in zip((first, second, no_docs), folders):
+        exact_dedup.write_snapshot(part, folder, digest)
+    for n in (0, 1, 3):
+        got = [tuple(r)[:4] for r in exact_dedup.dedup_batch(odd_docs, folders[:n], digest).select("doc_id", "keep_id", "group_size", "kept").collect()]
+        same_rows(got, brute_batch(pairs(odd_docs), [pairs(first), pairs(second), []][:n]))
+    assert exact_dedup.dedup_batch(no_docs, folders, digest).count() == 0
+
+
+def test_only_shared_texts_are_grouped(spark, sf_dir):
+    """The byte check reads texts through a join with the shared digests; no text without one reaches an exchange."""
+    docs = documents(spark, sf_dir)
+    shared = spark.createDataFrame([(b"x" * 32,)], "digest binary")
+    plan = exact_dedup._texts(docs, exact_dedup.sha256, shared).groupBy("digest", "bytes").count()._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin") and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_fuse_filter_has_no_false_negatives_and_few_positives():
     rng = np.random.default_rng(3)
     for n in (0, 1, 2, 7, 100, 20_000):
@@ -311,6 +385,56 @@ def test_pieces_in_small_chunks(monkeypatch):
     same_rows(got, brute_cut(texts))
 
 
+def test_places_of_large_chunks(monkeypatch):
+    """Chunks far over 16 MB: every anchor lies in its piece's first window, and equal texts name equal anchors."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 32 << 20)
+    rng = np.random.default_rng(6)
+    one = bytes(rng.integers(97, 123, 10 << 20, np.uint8))
+    part = [(1, 1, 0, one), (2, 2, 0, one)]
+    buf, valid, begins, sizes = suffix_dedup._laid_out(part)
+    assert len(buf) > 1 << 24
+    start, count, anchor = suffix_dedup.pieces(buf, valid)
+    assert ((anchor >= start) & (anchor <= start + suffix_dedup.SPAN - suffix_dedup.GRAM)).all()
+    n = np.searchsorted(start, begins[1])
+    assert (start[:n] + begins[1] == start[n:]).all() and (anchor[:n] + begins[1] == anchor[n:]).all()
+    key, place, windows = suffix_dedup.settle([b for _, b in suffix_dedup.chunk_blocks(part, np.zeros(0, "S12"))])
+    for d, removed in ((1, 0), (2, len(one))):
+        assert suffix_dedup.cut(one, place[key == d], windows[key == d])[0] == removed
+
+
+def test_chunks_beyond_the_place_bits_are_refused(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PLACE_BITS", 10)
+    buf, valid, _, _ = suffix_dedup._laid_out([(1, 1, 0, b"x" * 2000)])
+    with pytest.raises(ValueError, match="lower CHUNK"):
+        suffix_dedup.pieces(buf, valid)
+
+
+def test_a_passage_in_many_rows_leaves_few_bytes_for_its_bucket():
+    """A third of the rows hold one passage: their open pieces are those of one document a chunk, what is settled goes to the documents."""
+    rng = np.random.default_rng(7)
+    own = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()
+    passage = own(600)
+    texts = [own(400) + (passage if k % 3 == 0 else own(600)) for k in range(3000)]
+    splitters = np.sort(np.array([own(12).encode() for _ in range(15)], "S12"))
+    part = [(k, k, 0, t.encode()) for k, t in enumerate(texts)]
+    sizes, settled = {}, 0
+    for bucket, block in suffix_dedup.chunk_blocks(part, splitters, 8):
+        if bucket < 0:
+            settled += len(suffix_dedup._unpack(block, suffix_dedup.BLOCK)[7])
+        else:
+            sizes[bucket] = sizes.get(bucket, 0) + len(suffix_dedup._unpack(block, suffix_dedup.BLOCK)[6])
+    every = sum(sizes.values()) / len(sizes)
+    assert settled > 1000 * 15 and max(sizes.values()) < 4 * every  # the passage's 1000 copies add no rows to a bucket
+    assert len({b for b, _ in suffix_dedup.chunk_blocks(part, splitters, 8) if b < 0}) == 8
+
+
+def test_a_frequent_lead_of_eight_bytes_is_split_by_what_follows():
+    rng = np.random.default_rng(9)
+    splitters = np.array([b"aaaaaaaa" + c.encode() * 4 for c in "cgkosw"], "S12")
+    leads = np.array([b"aaaaaaaa" + bytes(rng.integers(97, 123, 4, np.uint8)) for _ in range(1000)], "S12")
+    assert len(set(np.searchsorted(splitters, leads, "right").tolist())) == 7
+
+
 # ------------------------------------------------------------------ 8
 
 
@@ -385,6 +509,94 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(e.encode(text), e.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
+def test_added_tokens_of_any_spelling(tmp_path):
+    """A file whose added tokens do not look special: texts that hold one are encoded as the library does."""
+    import public_tokenizers
+    from tokenizers import AddedToken, Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    t.add_tokens([AddedToken("[SEP]", single_word=True), AddedToken(" the end", lstrip=True), "zq"])
+    path = str(tmp_path / "added.json")
+    t.save(path)
+    e = token_files.Encoder(path)
+    for text in ("a[SEP]b", "a [SEP] b [SEP]", "this is the end of it", "zqzq azqb", "[SEP", "plain text, the  end"):
+        assert np.frombuffer(e.encode(text), e.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+def test_token_memory_is_bounded_and_left_after_the_task(odd_docs, monkeypatch):
+    import public_tokenizers
+    path = public_tokenizers.path(queries.TOKENIZER)
+    monkeypatch.setattr(token_files, "REMEMBER", 5)
+    e = token_files.Encoder(path)
+    for text in ("one two three four", "five six seven", "eight"):
+        e.encode(text)
+    assert len(e.known) <= 5
+    import pyarrow as pa
+
+    token_files.encoder.cache_clear()
+    folder = odd_docs.sparkSession.sparkContext.getCheckpointDir() or "/tmp"
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["one two"]})
+    monkeypatch.setattr(token_files, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 0})())}))
+    monkeypatch.setattr(token_files, "IDLE", 0.2)
+    list(token_files._writer(path, folder, 0)(iter([rows])))
+    assert token_files.encoder(path).known
+    list(token_files._writer(path, folder, 0)(iter([rows])))  # a task that begins soon finds it, and puts off the end
+    time.sleep(1)
+    assert not token_files.encoder(path).known
+
+
+def test_files_of_a_given_folder_are_read_from_there(odd_docs, tmp_path):
+    import public_tokenizers
+    path = public_tokenizers.path(queries.TOKENIZER)
+    here = token_files.read_tokens(token_files.write_tokens(odd_docs, path, folder=f"file://{tmp_path}/tokens"))
+    same_rows([tuple(r) for r in here.collect()], [tuple(r) for r in token_files.read_tokens(token_files.write_tokens(odd_docs, path)).collect()])
+    assert any(p.suffix == ".ids" for p in (tmp_path / "tokens").iterdir())
+
+
+def test_null_and_empty_item_ids_are_two_items(spark):
+    words = "one two three four five six seven eight nine ten eleven"
+    bench = spark.createDataFrame([(None, words), ("", words), ("b", words[4:]), (None, words)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "x " + words), (2, "nothing")], "doc_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {1: ["", "b", None], 2: []}
+    con = duckdb.connect()
+    documents, benchmark = docs.toPandas(), bench.toPandas()  # noqa: F841
+    assert con.execute(f"SELECT doc_id, n_items FROM ({decontaminate.decontaminate_sql()}) ORDER BY doc_id").fetchall() == [(1, 3), (2, 0)]
+
+
+def test_one_node_that_no_cut_separates_is_met_in_block_pairs(spark):
+    """All fingerprints within two bits of each other's neighbours: no radius divides them, every pair shares a node."""
+    fps = [0, *(1 << k for k in range(60))]
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for leaf in (4, 7):
+        nodes = {}
+        for r in simhash_vptree._leaves(df, 2, leaf).collect():
+            nodes.setdefault(r.node, set()).add(r.fp)
+        assert max(map(len, nodes.values())) < len(fps)
+        met = {(a, b) for members in nodes.values() for a in members for b in members}
+        assert all((a, b) in met for a in fps for b in fps if bin(a ^ b).count("1") <= 2)
+
+
+def test_operators_ship_their_code_themselves(spark):
+    """Frames that no helper of the library made work too."""
+    df = spark.createDataFrame([(1, "some words here and there"), (2, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", "some words here and there")], "item_id string, text string")
+    env, kept = spark.sparkContext.environment, spark.sparkContext.environment.pop("PYTHONPATH", None)
+    try:
+        for run in (lambda: exact_dedup.exact_dedup(df, F.col("doc_id") == 1), lambda: simhash_vptree.simhash_groups(df, 3, 2),
+                    lambda: decontaminate.decontaminate(df, bench), lambda: decontaminate.clean_rows(df, bench)):
+            env.pop("PYTHONPATH", None)
+            run()
+            assert env.get("PYTHONPATH")
+    finally:
+        if kept is not None:
+            env["PYTHONPATH"] = kept
+
+
+def test_old_shard_column_makes_way(odd_docs):
+    out = kd_shards.sharded_rows(odd_docs.selectExpr("doc_id", "text", "'old' AS shard", "source AS `a.b`"), shards=4)
+    assert out.columns == ["doc_id", "text", "a.b", "shard"] and {r.shard for r in out.collect()} <= set(range(4))
+
+
 # ----------------------------------------------------------------- 10
 
 

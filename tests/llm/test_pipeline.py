@@ -70,3 +70,13 @@ def test_one_row_of_each_near_duplicate_group_stays(spark, sf_dir, odd_docs):
     want = Counter((rows[k][1] or None, rows[k][3]) for k in set(least))
     assert Counter((r.doc_id, r.text or "") for r in out.collect()) == want
     assert max(want.values()) == 1 and sum(1 for d, _ in want if d == 9) == 2
+
+
+def test_mix_sends_thresholds_to_the_rows(spark, sf_dir, monkeypatch):
+    """Whole documents are not shuffled by source; with many sources they are dealt over parts of each."""
+    docs = table(spark, sf_dir, "documents")
+    plan = source_mix.mixed_rows(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    few = sorted(r.doc_id for r in source_mix.mixed_rows(docs).select("doc_id").collect())
+    monkeypatch.setattr(source_mix, "SENT_SOURCES", 0)
+    assert sorted(r.doc_id for r in source_mix.mixed_rows(docs).select("doc_id").collect()) == few
