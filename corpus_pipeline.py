@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor
 kept and returns the columns of ``documents``; the last one adds ``shard``. What
 a stage returns is written as Parquet into the shared folder and read again, so a
-lost executor costs at most the stage that runs.
+lost executor costs at most the stage that runs. A stage's rows are deleted when the
+next stage has written its own, the last ones when the session ends.
 
 1. quality classifier: documents that it rejects (toxic or poor) go;
 2. SimHash near-dedup: of each component the document with the smallest doc_id stays,
@@ -23,7 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from runtally.llm import decontaminate, kd_shards, ordinal_quality, simhash_vptree, source_mix
-from runtally.llm.common import shared_folder, table
+from runtally.llm.common import drop_folder, shared_folder, table
 from runtally.llm.queries import SHARDS, SIMHASH_BITS, SIMHASH_WIDTH
 
 
@@ -56,9 +57,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    drop_folder(spark, folder, at_end=True)
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         out = f"{folder}/{k}"
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if k:
+            drop_folder(spark, f"{folder}/{k - 1}")
     return docs
