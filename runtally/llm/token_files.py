@@ -16,11 +16,13 @@ the pages it covers.
 
 Encoding cuts a text before white space that follows a visible character, where
 the pre-tokeniser cuts in any case, gives the words of each piece to the library's
-model, and remembers the ids of the pieces (bounded memory); texts with rare white space or with the start of a special token are
-encoded as they are. Ids are those of ``Tokenizer.encode`` on the whole text.
+model, and remembers the ids of the pieces (at most ``REMEMBER`` of them, until a worker has had
+nothing to write for ``IDLE`` seconds); texts with rare white space, with the start of a special token or with any added token of
+the file are encoded as they are. Ids are those of ``Tokenizer.encode`` on the whole text.
 
 Defined cases: a null text is an empty one (the end id alone); a null doc_id
-sorts first; repeated rows are written each, ties in the order of the text; an
+sorts first; repeated rows are written each; rows of one doc_id lie in the order of a hash of
+their texts, so that those with different texts may be dealt over tasks; an
 empty table gives no files and an empty result; only ``doc_id`` and ``text`` are read.
 """
 
@@ -30,6 +32,7 @@ import functools
 import json
 import re
 import sys
+import threading
 import uuid
 import zlib
 from array import array
@@ -44,10 +47,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from runtally.llm.common import materialise, shared_folder, ship
+from runtally.llm.common import drop_folder, materialise, shared_folder, ship
 
 END_ID = 0
-REMEMBER = 1 << 20  # pieces whose ids a worker keeps, about 150 bytes each
+REMEMBER = 1 << 19  # pieces whose ids a worker keeps from task to task, about 150 bytes each
+IDLE = 3.0  # seconds after a task; then a worker without a new one forgets them
 LONG = 64  # characters of the longest piece that is kept
 # White space that str and the pre-tokeniser may see differently, or the start of a special token.
 RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]|<\\|")
@@ -82,8 +86,23 @@ class Encoder:
         self.by_word = (model.get("type") == "BPE" and not model.get("dropout") and setup.get("normalizer") is None
                         and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True))
         self.model = self.tokenizer.model
+        added = [t["content"] for t in setup.get("added_tokens") or [] if t["content"]]
+        self.rare = re.compile("|".join([RARE.pattern, *map(re.escape, added)]))
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.timer: threading.Timer | None = None
+
+    def begin(self) -> None:
+        """A task begins: what is known stays."""
+        if self.timer is not None:
+            self.timer.cancel()
+            self.timer = None
+
+    def end(self) -> None:
+        """A task has ended: unless another one begins soon, this worker's memory is left to other stages."""
+        self.timer = threading.Timer(IDLE, self.known.clear)
+        self.timer.daemon = True
+        self.timer.start()
 
     def _packed(self, ids: list[int]) -> bytes:
         a = array(self.code, ids)
@@ -105,17 +124,19 @@ class Encoder:
         return b"".join([known.get(w) or self._word(w) for w in WORD.findall(piece)])
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word or RARE.search(text):
+        if not self.by_word or self.rare.search(text):
             return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         pieces = PIECE.findall(text)
         known = self.known
-        new = {p for p in pieces if p not in known}
-        if not new:
-            return b"".join([known[p] for p in pieces])
-        here = {p: self._piece(p) for p in new}
-        if len(known) + len(new) <= REMEMBER:  # a full memory stays as it is: what comes first is what comes often
-            known.update((p, i) for p, i in here.items() if len(p) <= LONG)
-        return b"".join([known.get(p) or here[p] for p in pieces])
+        new = {p: self._piece(p) for p in set(pieces).difference(known)}
+        known.update(new)
+        out = b"".join(map(known.__getitem__, pieces))
+        # a full memory stays as it is: what comes first is what comes often
+        full = len(known) > REMEMBER
+        for p in new:
+            if full or len(p) > LONG:
+                del known[p]
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -130,6 +151,7 @@ def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
 def _writer(path: str, folder: str, end_id: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, (store, root) = encoder(path), _filesystem(folder)
+        enc.begin()
         end = np.array([end_id], enc.dtype).tobytes()
         name = f"{root}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         at, docs, ids, index = 0, 0, None, None
@@ -147,34 +169,40 @@ def _writer(path: str, folder: str, end_id: int):
                 at += n
             index.write(np.array(records, "<i8").tobytes())
             docs += len(records)
+        enc.end()
         if ids is not None:
             ids.close()
             index.close()
             yield pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "file": name, "docs": docs, "ids": at,
-                                               "width": enc.dtype.itemsize}])
+                                               "width": enc.dtype.itemsize, "folder": folder}])
 
     return task
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder: str | None = None) -> DataFrame:
-    """Writes the files; returns the manifest: part, file, docs, ids, width, base.
+    """Writes the files; returns the manifest: part, file, docs, ids, width, folder, base.
 
-    ``tokenizer``: path of a tokenizer file that all executors have.
+    ``tokenizer``: path of a tokenizer file that all executors have. Without a ``folder`` the
+    files go to one in the shared folder that is deleted when the session ends.
     """
     spark = docs.sparkSession
     ship(spark)
-    folder = folder or f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    if folder is None:
+        folder = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+        drop_folder(spark, folder, at_end=True)
     store, root = _filesystem(folder)
     store.create_dir(root, recursive=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = materialise(ordered.mapInArrow(_writer(tokenizer, folder, end_id), "part long, file string, docs long, ids long, width long"))
+    rows = rows.withColumn("place", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place").drop("place")
+    manifest = materialise(ordered.mapInArrow(_writer(tokenizer, folder, end_id),
+                                              "part long, file string, docs long, ids long, width long, folder string"))
     # one row per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
-def _reader(folder: str):
+def _reader():
     def mapped(store, name: str, dtype: str) -> np.ndarray:
         if isinstance(store, pafs.LocalFileSystem):
             return np.memmap(name, dtype, "r")
@@ -182,9 +210,9 @@ def _reader(folder: str):
             return np.frombuffer(f.read(), dtype)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = _filesystem(folder)
         for b in batches:
             for m in b.to_pylist():
+                store, _ = _filesystem(m["folder"])
                 ids = mapped(store, m["file"] + ".ids", f"<u{m['width']}")
                 index = mapped(store, m["file"] + ".index", "<i8").reshape(-1, RECORD)
                 for k in range(0, len(index), 4096):
@@ -202,7 +230,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     spark: SparkSession = manifest.sparkSession
     files = manifest.count()
     spread = manifest.repartition(max(1, files), "part")
-    return spread.mapInArrow(_reader(shared_folder(spark)), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(_reader(), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def document_ids(store_file: str, width: int, start: int, n: int) -> np.ndarray:
