@@ -17,9 +17,9 @@ from runtally import config as C
 from runtally import oracle as O
 from runtally.functions import columns as X
 from runtally.operators import densify, ordered, relational, running, segmented, selection
-from runtally.plans import canonical, completed, dashboard, live, progress
+from runtally.plans import canonical, completed, dashboard, jobs, live, progress
 from runtally.plans.context import RunTables
-from runtally.sources import feeds, fixtures, shared
+from runtally.sources import feeds, fixtures, marts, river, shared
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -797,6 +797,56 @@ def q_report_six_files(spark, sf):
     return canonical.latest_downstream(canonical.downstream_detections(raw))
 
 
+@register("report_union_two_files", "SELECT pit_id, ds_site, ds_datetime FROM ds")
+def q_report_two_files(spark, sf):
+    folder = shared.scratch_folder(spark, "report")
+    paths = feeds.land_report(tables(spark, sf).live_downstream_raw, f"{folder}/downstream", "live_downstream", 2, **_UTF16)
+    return canonical.downstream_detections(feeds.read_report(spark, paths, "live_downstream", **_UTF16)).drop("ordinal")
+
+
+@register(
+    "river_landed_long",
+    f"""SELECT date, mean_temp, mean_discharge FROM flow_daily WHERE date >= DATE '{river.HISTORY_START.isoformat()}' AND date <= {O.AS_OF}""",
+)
+def q_river_landed(spark, sf):
+    # two gauges landed, one wanted
+    folder = shared.scratch_folder(spark, "river")
+    long = fixtures.river_daily_long(spark, sf)
+    other = long.select("date", "parameter_cd", (F.col("value") * -1).alias("value"), F.lit("other").alias("site_no"))
+    long.select("date", "parameter_cd", "value", F.lit("wanted").alias("site_no")).unionByName(other).write.parquet(f"{folder}/long")
+    return river.read_long(spark, f"{folder}/long", "wanted", CFG.as_of)
+
+
+# --------------------------------------------------------------- marts
+# Datasets written by one job and read by the next.
+
+@register("mart_round_trip", "SELECT * FROM daily")
+def q_mart(spark, sf):
+    folder, daily = shared.scratch_folder(spark, "marts"), tables(spark, sf).daily
+    marts.write_mart(daily.limit(0), folder, "daily")  # an older state
+    marts.write_mart(daily, folder, "daily")
+    return marts.read_mart(spark, folder, "daily").select(*daily.columns)
+
+
+def _live_feeds(spark, sf) -> jobs.LiveFeeds:
+    t = tables(spark, sf)
+    return jobs.LiveFeeds(t.live_raw, t.live_downstream_raw, t.flow_daily)
+
+
+@register("current_year_from_year_mart", f"SELECT {DET_COLS}, current_sy FROM cur_det")
+def q_year_mart(spark, sf):
+    folder = shared.scratch_folder(spark, "marts")
+    jobs.land_detections(_live_feeds(spark, sf), folder)
+    return canonical.current_year_detections(marts.read_mart(spark, folder, "detections"), CFG)
+
+
+@register("individuals_from_fish_marts", f"SELECT {_round_len_sql(live.INDIVIDUAL_COLUMNS)} FROM individuals_live")
+def q_fish_marts(spark, sf):
+    folder, landed = shared.scratch_folder(spark, "marts"), _live_feeds(spark, sf)
+    jobs.land_detections(landed, folder)
+    return _round_len(live.individuals_live(*jobs.fish_level(spark, landed, folder, CFG), CFG), live.INDIVIDUAL_COLUMNS)
+
+
 # ------------------------------------------- dashboard dates of the scheduled run
 
 @register("first_entry_date_host_zone", "SELECT min(CAST(timezone('UTC', timezone('America/Los_Angeles', sfc_entry_final)) AS DATE)) AS slider_min FROM individuals_live", HOST)
