@@ -44,8 +44,8 @@ GRID = 64
 SHIFT = 1_000_000  # what the grid's origin is called
 COMPONENTS = 16
 GUARD = 4  # vectors of the block beyond those still wanted, against missed neighbours
-SPACE = 6  # size of the search space in blocks, before it restarts
-MINRES_STEPS = 6
+SPACE = 10  # size of the search space in blocks, before it restarts
+MINRES_STEPS = 3
 LOCK = 64  # residuals count as zero at so many eps of the largest eigenvalue
 OUTER = 200
 REDUCE = 256  # results of so many tasks are added in one task before they reach the driver
@@ -238,19 +238,19 @@ def components(product: Callable[[np.ndarray], np.ndarray], d: int, wanted: int
         u, au, e, r = u[:, done:], au[:, done:], e[done:], r[:, done:]
         block = min(wanted - len(found) + GUARD, d - len(found))
         q, aq = u, au
-        if q.shape[1] + block > max(SPACE * block, 2 * block) and q.shape[1] < d - len(found):
-            q, aq = q[:, :2 * block], aq[:, :2 * block]
+        if q.shape[1] + block > SPACE * block and q.shape[1] < d - len(found):
+            q = _orthonormal(q[:, :2 * block], locked)
+            aq = product(q)  # taken anew, so no rounding piles up
         todo = min(block, u.shape[1])
         if q.shape[1] < d - locked.shape[1]:
             t = _corrections(product, locked, u[:, :todo], e[:todo], r[:, :todo], MINRES_STEPS)
             more = _orthonormal(t, locked, q)
             if more.shape[1] == 0:  # corrections inside the space: fresh directions
                 more = _orthonormal(rng.standard_normal((d, min(block, d - locked.shape[1] - q.shape[1]))), locked, q)
-        else:
-            more = np.zeros((d, 0))
-        # the kept space is cleaned against what was locked, and its products are taken anew, so no rounding piles up
-        q = _orthonormal(np.concatenate([q, more], axis=1), locked)
-        aq = product(q)
+            q, aq = np.concatenate([q, more], axis=1), np.concatenate([aq, product(more)], axis=1)
+        else:  # the space is all that is left: its products once more, exactly
+            q = _orthonormal(q, locked)
+            aq = product(q)
     raise RuntimeError("the components did not reach double precision")
 
 
