@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runtally.llm.common import ship
+from runtally.llm.common import materialise, number_rows, ship
 
 SPAN = 50
 GRAM = 12
@@ -436,5 +436,9 @@ def _splitters(rows: DataFrame, total: int, buckets: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(_leads(buf, anchor).tolist(), pa.binary())], ["lead"])
 
     sample = rows.filter(F.pmod("key", F.lit(every)) == 0).mapInArrow(leads, "lead binary")
-    lead = np.sort(np.array([bytes(r.lead) for r in sample.collect()], f"S{GRAM}"))
-    return np.unique(lead[np.linspace(0, len(lead) - 1, buckets + 1).astype(int)[1:-1]]) if len(lead) else lead
+    # leads are sorted and counted by the tasks; the driver gets one a bucket
+    placed = materialise(number_rows(sample, [], ["lead"], "at"))
+    n = placed.count()
+    step = F.floor(F.col("at") * buckets / max(1, n))
+    edges = placed.filter((F.col("at") > 0) & (step > F.floor((F.col("at") - 1) * buckets / max(1, n)))).select("lead").distinct().collect()
+    return np.sort(np.array([bytes(r.lead) for r in edges], f"S{GRAM}"))
