@@ -53,6 +53,7 @@ WINDOWS = 1 << 20  # windows compared at once
 SPREAD = 3.7  # bytes of pieces for a byte of text, about
 TEXTS = 16 << 20  # bytes of text in a bucket of documents
 LEVEL = 5  # of compression
+MOST_PARTS = 50_000  # partitions of the bucket shuffle
 SAMPLE = 4 << 20  # bytes of text at least that give the splitters
 LAST = (1 << 63) - 1  # stands for a null doc_id
 WORDS = (0, 8, 16, 24, 32, 40, SPAN - 8)  # eight-byte words that cover a window
@@ -416,7 +417,9 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
                             columns=["dealt", "block"])
 
     made = rows.mapInArrow(make, "bucket long, block binary")
-    settled = made.groupBy("bucket").applyInPandas(sort, "dealt long, block binary")
+    # as many partitions as buckets, so that few buckets share a task at any size of the input
+    parts = min(MOST_PARTS, max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    settled = made.repartition(parts, "bucket").groupBy("bucket").applyInPandas(sort, "dealt long, block binary")
     dealt = rows.mapInArrow(_packer(into), "dealt long, block binary")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     return dealt.groupBy("dealt").cogroup(settled.groupBy("dealt")).applyInArrow(
