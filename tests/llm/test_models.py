@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from runtally.llm import kd_shards, ordinal_quality, queries
@@ -91,3 +92,46 @@ def test_tree_against_brute_force_on_the_points(spark, sf_dir, shards):
     got = sorted((r.doc_id, r.node) for r in kd_shards.assign(points, levels).select("doc_id", "node").collect())
     assert got == sorted((r.doc_id, int(n)) for r, n in zip(rows, node))
     assert all(abs(size[node == s].sum() - size.sum() / shards) < 0.1 * size.sum() / shards for s in range(shards))
+
+
+@pytest.mark.parametrize("sent", [200_000, 0])
+def test_metadata_dimensions_and_copies_that_differ_in_them(spark, sf_dir, sent, monkeypatch):
+    """Keys of source and language by a plain loop: the smallest place of a text's rows; equal texts are one point."""
+    monkeypatch.setattr(kd_shards, "SENT", sent)
+    monkeypatch.setattr(kd_shards, "HOT", 400)
+    docs = queries.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    hot = spark.range(10**6, 10**6 + 60).selectExpr("id AS doc_id", "'one text' AS text", "IF(id % 2 = 0, 'en', NULL) AS lang", "concat('s', id % 7) AS source")
+    docs = docs.union(hot)
+    points, dims, _ = kd_shards._points(docs, kd_shards.dimensions)
+    assert dims == 4
+    names = [r[0] for r in docs.selectExpr("explode(array(source, lang))").distinct().collect()]
+    place = {n: 0 if n is None else (xxhash.xxh64_intdigest(n.encode(), 42) >> 40) for n in names}
+    low = {}
+    rows = docs.collect()
+    for r in rows:
+        old = low.get(r.text or "", (1 << 24, 1 << 24))
+        low[r.text or ""] = (min(old[0], place[r.source]), min(old[1], place[r.lang]))
+    got = {r.doc_id: r["keys"] for r in points.collect()}
+    assert len(got) == len(rows)
+    tails = 60 - kd_shards.LEAD
+    for r in rows:
+        assert (got[r.doc_id][0] >> tails, got[r.doc_id][1] >> tails) == low[r.text or ""]
+        assert len({k & ((1 << tails) - 1) for k in got[r.doc_id]}) == 1
+    by_text = {}
+    for r in rows:
+        by_text.setdefault(r.text or "", set()).add(tuple(got[r.doc_id]))
+    assert all(len(k) == 1 for k in by_text.values())
+
+
+def test_tree_with_metadata_cuts_along_it(spark, sf_dir):
+    """The root is cut along the dimension that is widest on its own scale, and the nodes still come out near equal."""
+    docs = queries.table(spark, sf_dir, "documents")
+    points, dims, _ = kd_shards._points(docs, kd_shards.dimensions)
+    levels = kd_shards.fit_tree(points, dims, 8)
+    rows = points.collect()
+    keys, largest = np.array([r["keys"] for r in rows]), max(r["size"] for r in rows)
+    assert levels[0][0][1] == int(np.argmax(keys.max(axis=0) - keys.min(axis=0))) and levels[0][0][1] in (0, 1)
+    sizes = [r["b"] for r in kd_shards.assign(points, levels).groupBy("node").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 8 and max(sizes) - min(sizes) <= largest
+    bare = docs.select("doc_id", "text")
+    assert kd_shards._points(bare, kd_shards.dimensions)[1] == 2 and kd_shards.kd_shards(bare, shards=8).count() == docs.count()
