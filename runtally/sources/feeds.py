@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runtally.sources.shared import list_files, named_paths
+from runtally.sources.shared import list_files, list_folders, named_paths
 
 
 # Raw column names used by the canonicalisation step.
@@ -69,6 +69,8 @@ FEEDS = {
     "completed_downstream": COMPLETED_DOWNSTREAM,
 }
 _NUMERIC = {"mark_length"}
+# Rows that one task sorts and writes when a report is landed (about 180 MB of sort memory).
+PART_ROWS = 1_000_000
 
 
 def feed_schema(headers: dict[str, str]) -> T.StructType:
@@ -131,10 +133,25 @@ def standardise(raw: DataFrame) -> DataFrame:
     return raw.select(*cols, "ordinal")
 
 
-def land_report(raw: DataFrame, folder: str, feed: str, files: int, encoding: str = "UTF-8", line_sep: str = "\n") -> list[str]:
-    """Writes a raw feed as a landed report of at most ``files`` files, in report order; returns their paths in that order."""
+def land_report(
+    raw: DataFrame, folder: str, feed: str, files: int, encoding: str = "UTF-8", line_sep: str = "\n", part_rows: int = PART_ROWS
+) -> list[str]:
+    """Writes a raw feed as a landed report of at most ``files`` files, in report order; returns their paths in that order.
+
+    A file of more than about ``part_rows`` rows is landed as a folder of parts of that size, in order by name,
+    so no task sorts or writes more; ``read_report`` gives the rows of a folder the rank of its path.
+    """
     headers = FEEDS[feed]
-    rows = raw.repartitionByRange(files, "ordinal").sortWithinPartitions("ordinal")
-    rows = rows.select(*[F.col(r).alias(h) for h, r in headers.items()])
-    rows.write.option("header", True).option("encoding", encoding).option("lineSep", line_sep).csv(folder)
-    return list_files(raw.sparkSession, folder)
+    parts = -(-raw.count() // (files * part_rows))
+    if parts <= 1:
+        rows = raw.repartitionByRange(files, "ordinal").sortWithinPartitions("ordinal")
+    else:
+        # range n of the report is part n % parts of file n // parts; zeros keep the folders in order by name
+        place = F.lpad(F.floor(F.spark_partition_id() / parts).cast("string"), 5, "0")
+        rows = raw.repartitionByRange(files * parts, "ordinal").withColumn("file", place).sortWithinPartitions("file", "ordinal")
+    rows = rows.select(*[F.col(r).alias(h) for h, r in headers.items()], *(["file"] if parts > 1 else []))
+    out = rows.write.partitionBy("file") if parts > 1 else rows.write
+    out.option("header", True).option("encoding", encoding).option("lineSep", line_sep).csv(folder)
+    if parts <= 1:
+        return list_files(raw.sparkSession, folder)
+    return [f"{folder}/{name}" for name in list_folders(raw.sparkSession, folder) if name.startswith("file=")]

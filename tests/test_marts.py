@@ -169,6 +169,28 @@ def test_report_of_several_files_is_one_scan_in_path_order(spark, sf_dir, tmp_pa
     assert {r[0] for r in again.select("ordinal.file_rank").distinct().collect()} == {0, 1}
 
 
+def test_large_report_file_is_landed_in_parts_and_read_in_order(spark, sf_dir, tmp_path):
+    raw = RunTables.from_driver_tables(spark, sf_dir, CFG).live_downstream_raw
+    utf16 = {"encoding": "UTF-16LE", "line_sep": "\r\n"}
+    n, folder = raw.count(), tmp_path / "parts"
+    paths = feeds.land_report(raw, str(folder), "live_downstream", 2, **utf16, part_rows=-(-n // 24))
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["file=00000", "file=00001"]
+    parts = [[sum(1 for _ in open(f, encoding="utf-16-le")) - 1 for f in sorted(folder.glob(f"file=0000{k}/part-*"))] for k in (0, 1)]
+    assert [len(p) for p in parts] == [12, 12] and sum(map(sum, parts)) == n
+    assert max(map(max, parts)) < n // 8  # no task writes a file's rows alone
+    want = [(r.tag, r.site, r.obs_time) for r in raw.orderBy("ordinal").collect()]
+    read = feeds.read_report(spark, paths, "live_downstream", **utf16)
+    got = read.orderBy("ordinal").select("tag", "site", "obs_time", "ordinal.file_rank").collect()
+    assert [tuple(r)[:3] for r in got] == want
+    assert [r[3] for r in got] == sorted(r[3] for r in got) and {r[3] for r in got} == {0, 1}
+    # the folder of all of them, and the caller's own order
+    whole = feeds.read_report(spark, str(folder), "live_downstream", **utf16).orderBy("ordinal").select("tag", "site", "obs_time")
+    assert list(map(tuple, whole.collect())) == want
+    back = feeds.read_report(spark, paths[::-1], "live_downstream", **utf16).orderBy("ordinal").select("tag", "site", "obs_time")
+    first = sum(parts[0])
+    assert list(map(tuple, back.collect())) == want[first:] + want[:first]
+
+
 def test_live_job_reads_landed_reports_and_river_files(spark, sf_dir, tmp_path):
     t = RunTables.from_driver_tables(spark, sf_dir, CFG)
     utf16 = {"encoding": "UTF-16LE", "line_sep": "\r\n"}
