@@ -1,22 +1,23 @@
-"""Order-sensitive per-key aggregates, expressed as hash aggregates.
+"""Order-sensitive per-key values and rows, reduced before the shuffle.
 
 Report order matters to the source workflow ("first", "last", "latest row,
 ties to the first"). Spark DataFrames are unordered, so every function here
-takes an explicit ordinal. All of them are ``min_by``/``max_by`` aggregates:
-they get a map-side partial aggregation, so a key holding a third of the
-rows is reduced inside each input task before the shuffle instead of being
-funnelled whole into one window partition.
+takes an explicit ordinal. The single values are ``min_by``/``max_by``
+aggregates with a map-side partial aggregation; the whole row of a key is a
+``row_number() = 1``, which Spark limits to one row a key in each input task
+(WindowGroupLimit). Either way a key holding a third of the rows is reduced
+before the shuffle instead of being funnelled whole into one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runtally.functions.columns import col, ntz_micros
+from runtally.functions.columns import col
 
 
 def first_by(x: Column | str, ordinal: Column | str) -> Column:
@@ -35,15 +36,11 @@ def last_by_where(x: Column | str, ordinal: Column | str, cond: Column) -> Colum
 
 
 def _descending(c: Column, dtype: T.DataType) -> Column:
-    """A sort key that orders ``c`` descending when sorted ascending."""
-    if isinstance(dtype, T.TimestampNTZType):
-        return -ntz_micros(c)
-    if isinstance(dtype, T.TimestampType):
-        return -F.unix_micros(c)
-    if isinstance(dtype, T.DateType):
-        return -F.unix_date(c)
+    """A sort order on ``c``, largest first, NULL last (NaN counts as smallest)."""
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return c.desc_nulls_last()
     if isinstance(dtype, T.NumericType):
-        return -c
+        return (-c).asc_nulls_last()
     raise TypeError(f"cannot order descending on {dtype.simpleString()}")
 
 
@@ -80,14 +77,14 @@ def top1_by_key(
     """One row per key: the row with the max (or min) ``order_col``; ties go
     to the smallest ordinal; keys whose ``order_col`` is all NULL give no row.
 
-    Runs as one aggregate (partial + final): every payload column is a
-    ``min_by`` over the same flat sort key ``(order, ordinal...)``. The
-    ordinal is unique per row, so all columns come from the same row.
+    Runs as a row number over the flat sort key ``(order, ordinal...)``: each
+    input task keeps one row a key before the shuffle. The key is evaluated once
+    a row: NULL orders sort last and are dropped at the end (a filter below would
+    be pushed into the scan and repeat the clock parse).
     """
     keys = list(keys)
     payload = [c for c in (payload or df.columns) if c not in keys]
     dtype = df.schema[order_col].dataType
     o = F.col(order_col)
-    sort_key = F.struct(_descending(o, dtype) if descending else o, *_flat(df, ordinal))
-    picked = [F.min_by(F.col(c), sort_key).alias(c) for c in payload]
-    return df.filter(o.isNotNull()).groupBy(*keys).agg(*picked)
+    best = Window.partitionBy(*keys).orderBy(_descending(o, dtype) if descending else o.asc_nulls_last(), *_flat(df, ordinal))
+    return df.withColumn("_place", F.row_number().over(best)).filter((F.col("_place") == 1) & o.isNotNull()).select(*keys, *payload)

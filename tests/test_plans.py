@@ -106,3 +106,10 @@ def test_walker_flags_a_window_over_raw_rows(t):
     from pyspark.sql import functions as F
     bad = t.detections.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("pit_id")))
     assert _scans_without_aggregate_below_window(_initial(bad))
+
+
+def test_latest_rows_are_limited_in_each_task_and_the_clock_is_parsed_once(spark, sf_dir):
+    from runtally import registry
+    p = _initial(registry.QUERIES["inner_join_latest"](spark, sf_dir))
+    assert "SortAggregate" not in p and p.count("WindowGroupLimit") == 4  # before and after each exchange
+    assert p.count("gettimestamp(") == 2, p.count("gettimestamp(")

@@ -195,6 +195,17 @@ def test_top1_ties_go_to_first_row_and_all_null_gives_no_row(spark):
     assert got == {"a": "late-1"}
 
 
+def test_top1_orders_nulls_nan_struct_ordinals_and_null_keys(spark):
+    nan = float("nan")
+    rows = [("a", nan, (0, 0), "nan"), ("a", 2.0, (2, 1), "2-1"), ("a", 2.0, (1, 9), "1-9"), ("a", None, (0, 1), "null"),
+            ("n", nan, (1, 1), "nan"), ("z", None, (1, 1), "null"), (None, 1.0, (1, 1), "null key"), (None, 3.0, None, "no ordinal")]
+    df = spark.createDataFrame(rows, "k string, t double, o struct<x:int,y:int>, v string")
+    down = {r.k: r.v for r in ordered.top1_by_key(df, ["k"], "t", "o", ["v"]).collect()}
+    assert down == {"a": "1-9", "n": "nan", None: "no ordinal"}
+    up = {r.k: r.v for r in ordered.top1_by_key(df, ["k"], "t", "o", ["v"], descending=False).collect()}
+    assert up == {"a": "1-9", "n": "nan", None: "null key"}
+
+
 def test_first_keeps_null_and_last_of_empty_subset_is_null(spark):
     rows = [("a", 1, None, "X"), ("a", 2, 5.0, "SC1"), ("b", 1, 7.0, "X")]
     df = spark.createDataFrame(rows, "k string, o long, v double, s string")
