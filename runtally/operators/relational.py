@@ -67,3 +67,12 @@ def pivot_values(long: DataFrame, key: str, name_col: str, value_col: str, names
     """
     wide = long.groupBy(key).pivot(name_col, list(names)).agg(F.max(value_col))
     return wide.select(key, *[F.col(f"`{k}`").alias(v) for k, v in names.items()])
+
+
+def evaluated_once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` with a column that is costly to compute, evaluated once a row.
+
+    A filter on a projected column is pushed below the projection with the expression in its
+    place, once for each mention; it stays above a generator. ``explode`` of one value keeps every row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

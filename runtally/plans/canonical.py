@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from runtally import config as C
 from runtally.functions import columns as X
 from runtally.operators.ordered import top1_by_key
+from runtally.operators.relational import evaluated_once
 
 DETECTION_COLUMNS = (
     "pit_id", "species", "rear_type", "run_type", "release_sitecode", "release_lifestage",
@@ -25,9 +26,8 @@ DETECTION_COLUMNS = (
 
 def canonical_detections(raw: DataFrame, ampm: str = "parse") -> DataFrame:
     """OP1 + OP2: rename, site tokens, parse clocks and dates, years."""
-    obs = X.parse_local_ts("obs_time", ampm)
     release = X.parse_mdy("release_date")
-    df = raw.select(
+    df = evaluated_once(raw, X.parse_local_ts("obs_time", ampm), "observation_datetime").select(
         F.col("tag").alias("pit_id"),
         F.col("species_name").alias("species"),
         F.col("rear_type"),
@@ -36,7 +36,7 @@ def canonical_detections(raw: DataFrame, ampm: str = "parse") -> DataFrame:
         F.col("mark_life_stage").alias("release_lifestage"),
         release.alias("release_datetime"),
         X.site_token("site").alias("observation_sitecode"),
-        obs.alias("observation_datetime"),
+        F.col("observation_datetime"),
         F.col("mark_length").cast("double").alias("length_mm"),
         F.col("ordinal"),
     )
@@ -98,6 +98,19 @@ def latest_downstream(ds: DataFrame) -> DataFrame:
     return top1_by_key(ds, ["pit_id"], "ds_datetime", "ordinal", ["ds_datetime", "ds_site"])
 
 
+def latest_downstream_times(raw: DataFrame, ampm: str) -> DataFrame:
+    """Per fish the latest downstream time as ``ampm`` reads it and as "parse" does, one pass over a
+    report that both rules use; fish without either time -> no row. The filter names both times, so
+    that neither is pruned and both uses share one exchange."""
+    ds = raw.select(
+        F.col("tag").alias("pit_id"),
+        X.parse_local_ts("obs_time", ampm).alias("_as_read"),
+        X.parse_local_ts("obs_time", "parse").alias("_parsed"),
+    )
+    out = ds.groupBy("pit_id").agg(F.max("_as_read").alias("latest_as_read"), F.max("_parsed").alias("latest_parsed"))
+    return out.filter(F.col("latest_as_read").isNotNull() | F.col("latest_parsed").isNotNull())
+
+
 def latest_downstream_time(ds: DataFrame) -> DataFrame:
     """Only the latest time per fish (what the juvenile rule needs)."""
     return ds.groupBy("pit_id").agg(F.max("ds_datetime").alias("latest_downstream")).filter(

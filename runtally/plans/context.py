@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runtally import config as C
 from runtally.plans import canonical, completed, dashboard, live, progress
@@ -55,8 +56,17 @@ class RunTables:
     def downstream(self) -> DataFrame:
         return canonical.downstream_detections(self.live_downstream_raw, self.cfg.ampm)
 
+    @cached_property
+    def _shared_latest_times(self) -> DataFrame | None:
+        """Both readings of the latest times, where both runs read one downstream report in different ways."""
+        if self.cfg.ampm == "parse" or self.live_downstream_raw is not self.completed_downstream_raw:
+            return None
+        return canonical.latest_downstream_times(self.live_downstream_raw, self.cfg.ampm)
+
     @cached_property
     def downstream_latest_time(self) -> DataFrame:
+        if self._shared_latest_times is not None:
+            return self._shared_latest_times.select("pit_id", F.col("latest_as_read").alias("latest_downstream"))
         return canonical.latest_downstream_time(self.downstream)
 
     @cached_property
@@ -78,6 +88,8 @@ class RunTables:
 
     @cached_property
     def completed_downstream_latest_time(self) -> DataFrame:
+        if self._shared_latest_times is not None:
+            return self._shared_latest_times.select("pit_id", F.col("latest_parsed").alias("latest_downstream"))
         ds = canonical.downstream_detections(self.completed_downstream_raw, "parse")
         return canonical.latest_downstream_time(ds)
 

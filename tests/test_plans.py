@@ -113,3 +113,39 @@ def test_latest_rows_are_limited_in_each_task_and_the_clock_is_parsed_once(spark
     p = _initial(registry.QUERIES["inner_join_latest"](spark, sf_dir))
     assert "SortAggregate" not in p and p.count("WindowGroupLimit") == 4  # before and after each exchange
     assert p.count("gettimestamp(") == 2, p.count("gettimestamp(")
+
+
+def test_filters_on_the_clock_do_not_repeat_its_parse(t):
+    assert _initial(t.current_detections).count("gettimestamp(concat") == 1
+    p = _initial(t.completed_detections.select("pit_id", "observation_datetime"))
+    assert p.count("+00:00") == 1
+
+
+def _host_zone(spark, sf_dir):
+    from runtally import config as C
+    from runtally.plans.context import RunTables
+    return RunTables.from_driver_tables(spark, sf_dir, C.FIXTURE_CONFIG_HOST_ZONE)
+
+
+def test_scheduled_run_reads_the_downstream_report_once(spark, sf_dir):
+    host = _host_zone(spark, sf_dir)
+    for df in (host.run_stats, host.year_to_date):
+        df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert p.count("partial_max(_as_read") == p.count("partial_max(_parsed") >= 1
+        # of the two uses one reads the exchange of the other
+        assert "ReusedExchange [pit_id" in p
+
+
+def test_shared_downstream_times_equal_the_separate_ones(spark, sf_dir):
+    from runtally.plans import canonical
+    host = _host_zone(spark, sf_dir)
+    raw = host.live_downstream_raw.unionByName(spark.createDataFrame(
+        [("bad", "A - x", "R", "13/45/2001 1:00:00 AM", (1, 1, 1)), ("odd", "A - x", "R", "3/5/2001 1:00:00", (2, 1, 1)),
+         (None, "A - x", "R", "3/5/2001 12:30:00 PM", (3, 1, 1)), ("none", None, None, None, (4, 1, 1))],
+        "tag string, site string, release_site string, obs_time string, ordinal struct<line:bigint,part:bigint,supp:bigint>"))
+    host.live_downstream_raw = host.completed_downstream_raw = raw
+    for got, ampm in ((host.downstream_latest_time, "ignore"), (host.completed_downstream_latest_time, "parse")):
+        want = canonical.latest_downstream_time(canonical.downstream_detections(raw, ampm))
+        rows = [tuple(r) for r in got.filter("latest_downstream IS NOT NULL").collect()]
+        assert sorted(rows, key=str) == sorted(map(tuple, want.collect()), key=str) and rows
