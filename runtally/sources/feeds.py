@@ -134,15 +134,16 @@ def standardise(raw: DataFrame) -> DataFrame:
 
 
 def land_report(
-    raw: DataFrame, folder: str, feed: str, files: int, encoding: str = "UTF-8", line_sep: str = "\n", part_rows: int = PART_ROWS
+    raw: DataFrame, folder: str, feed: str, files: int, encoding: str = "UTF-8", line_sep: str = "\n",
+    part_rows: int | None = None,
 ) -> list[str]:
     """Writes a raw feed as a landed report of at most ``files`` files, in report order; returns their paths in that order.
 
-    A file of more than about ``part_rows`` rows is landed as a folder of parts of that size, in order by name,
+    A file of more than about ``part_rows`` (else ``PART_ROWS``) rows is landed as a folder of parts of that size, in order by name,
     so no task sorts or writes more; ``read_report`` gives the rows of a folder the rank of its path.
     """
     headers = FEEDS[feed]
-    parts = -(-raw.count() // (files * part_rows))
+    parts = -(-raw.count() // (files * (part_rows or PART_ROWS)))
     if parts <= 1:
         rows = raw.repartitionByRange(files, "ordinal").sortWithinPartitions("ordinal")
     else:

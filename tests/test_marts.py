@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runtally import config as C
+from runtally import registry
 from runtally.plans import canonical, jobs, live
 from runtally.plans.context import RunTables
 from runtally.sources import feeds, fixtures, marts, river, shared
@@ -191,6 +192,17 @@ def test_large_report_file_is_landed_in_parts_and_read_in_order(spark, sf_dir, t
     assert list(map(tuple, back.collect())) == want[first:] + want[:first]
 
 
+def test_six_file_scan_of_large_files_lands_parts_and_keeps_the_rows(spark, sf_dir, monkeypatch):
+    t, landed, land = RunTables.from_driver_tables(spark, sf_dir, CFG), [], feeds.land_report
+    monkeypatch.setattr(feeds, "PART_ROWS", -(-t.completed_downstream_raw.count() // 18))
+    monkeypatch.setattr(feeds, "land_report", lambda *a, **k: landed.extend(land(*a, **k)) or landed)
+    got = registry.QUERIES["report_scan_six_files"](spark, sf_dir)
+    assert rows(got) == rows(canonical.latest_downstream(t.downstream).select(*got.columns))
+    assert [p.rsplit("/", 1)[1] for p in landed] == [f"file=0000{k}" for k in range(6)]
+    # a part is written by one task: none has a file's rows
+    assert all(len(shared.list_files(spark, p)) == 3 for p in landed)
+
+
 def test_live_job_reads_landed_reports_and_river_files(spark, sf_dir, tmp_path):
     t = RunTables.from_driver_tables(spark, sf_dir, CFG)
     utf16 = {"encoding": "UTF-16LE", "line_sep": "\r\n"}
