@@ -104,34 +104,39 @@ def individuals_completed_single_pass(det: DataFrame, ds_latest: DataFrame, cfg:
         (F.col("release_lifestage") == "Adult") | F.col("release_sitecode").isin(list(cfg.kept_release_sites)),
         F.lit(False),
     )
-    cand = (
+    listed = F.coalesce(
         (F.col("release_lifestage") == "Juvenile")
-        & F.col("release_sitecode").isin(list(cfg.juvenile_release_sites))
-        & obs.isNotNull()
+        & F.col("release_sitecode").isin(list(cfg.juvenile_release_sites)),
+        F.lit(False),
     )
-    cand = F.coalesce(cand, F.lit(False))
+    cand = listed & obs.isNotNull()
     final = X.isin_false("observation_sitecode", cfg.final_sites)
-    jkey = F.struct(-X.ntz_micros(obs), o)
+    # a row that is neither counts nowhere: a group of such rows has no main row and no candidate.
+    # The filter names no time, so it runs before the clock is parsed.
+    det = det.filter(main | listed).withColumns({
+        "_j_key": F.when(cand, F.struct(X.descending_time(obs), o)),
+        "_final": final,
+    })
 
     def m_first(c):
         return F.min_by(F.when(main, F.col(c)), F.when(main, o))
 
     def j_pick(c):
-        return F.min_by(F.when(cand, c), F.when(cand, jkey))
+        return F.min_by(c, "_j_key")
 
     groups = det.groupBy("pit_id", "species", "spawn_year").agg(
         F.max(main.cast("int")).alias("_m_any"),
         m_first("observation_datetime").alias("_m_first"),
-        F.max_by(F.when(main & final, obs), F.when(main & final, o)).alias("_m_final"),
+        F.max_by(F.when(main & F.col("_final"), obs), F.when(main & F.col("_final"), o)).alias("_m_final"),
         F.sum(F.when(main, F.col("length_mm"))).alias("_m_len_sum"),
         F.count(F.when(main, F.col("length_mm"))).alias("_m_len_n"),
         m_first("release_lifestage").alias("_m_stage"),
         m_first("release_sitecode").alias("_m_rsite"),
         m_first("release_datetime").alias("_m_rdate"),
         F.min(F.when(main, o)).alias("_m_ord"),
-        F.min(F.when(cand, jkey)).alias("_j_key"),
+        F.min("_j_key").alias("_j_key"),
         j_pick(obs).alias("_j_obs"),
-        j_pick(F.col("observation_sitecode")).alias("_j_site"),
+        j_pick(F.col("_final")).alias("_j_final"),
         j_pick(F.col("length_mm")).alias("_j_len"),
         j_pick(F.col("release_lifestage")).alias("_j_stage"),
         j_pick(F.col("release_sitecode")).alias("_j_rsite"),
@@ -161,7 +166,7 @@ def individuals_completed_single_pass(det: DataFrame, ds_latest: DataFrame, cfg:
     out = g.filter((has_main | juv) & F.col("spawn_year").isNotNull()).select(
         "pit_id", "species", "spawn_year",
         F.when(has_main, F.col("_m_first")).otherwise(F.col("_j_obs")).alias("sfc_first"),
-        F.when(juv & X.isin_false("_j_site", cfg.final_sites), F.col("_j_obs"))
+        F.when(juv & F.col("_j_final"), F.col("_j_obs"))
         .otherwise(F.col("_m_final")).alias("sfc_entry_final"),
         F.when(len_n > 0, len_sum / len_n).alias("length_mm"),
         F.when(has_main, F.col("_m_stage")).otherwise(F.col("_j_stage")).alias("release_lifestage"),

@@ -52,8 +52,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+TWO_DIGITS = tuple(f"{n:02d}" for n in range(100))
+
+
 def _two(c) -> F.Column:
-    return F.lpad(c.cast("string"), 2, "0")
+    """A field of 0 to 99 as two digits, looked up (cheaper per row than cast and pad)."""
+    return F.get(F.array(*[F.lit(n) for n in TWO_DIGITS]), c.cast("int"))
 
 
 def clock_text(ts) -> F.Column:

@@ -149,3 +149,39 @@ def test_shared_downstream_times_equal_the_separate_ones(spark, sf_dir):
         want = canonical.latest_downstream_time(canonical.downstream_detections(raw, ampm))
         rows = [tuple(r) for r in got.filter("latest_downstream IS NOT NULL").collect()]
         assert sorted(rows, key=str) == sorted(map(tuple, want.collect()), key=str) and rows
+
+
+def test_rows_that_count_nowhere_are_dropped_before_the_clock_is_parsed(spark, t):
+    from runtally.plans import canonical, completed
+    raw = spark.createDataFrame(t.completed_raw.limit(5).collect(), t.completed_raw.schema)
+    det = canonical.completed_detections(raw)
+    p = _initial(completed.individuals_completed_single_pass(det, t.completed_downstream_latest_time, t.cfg))
+    below_parse = p[p.index("Generate explode"):].split("ExistingRDD")[0]
+    assert any("Filter" in l and "NEWSOC" in l for l in below_parse.splitlines())
+
+
+def test_padded_report_text_is_cast_and_other_text_parsed_by_its_pattern(spark):
+    from pyspark.sql import functions as F
+
+    from runtally import config as C
+    from runtally.functions import columns as X
+
+    def by_pattern(ampm):
+        t = F.col("t") if ampm == "parse" else F.regexp_extract("t", r"^\S+ \S+", 0)
+        fmt = C.OBS_TIME_FORMAT if ampm == "parse" else C.OBS_TIME_FORMAT_NO_AMPM
+        at = F.try_to_timestamp(F.concat(t, F.lit(" +00:00")), F.lit(fmt + " XXX"))
+        return F.timestamp_add("MICROSECOND", F.unix_micros(at), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+    days = ["03/05/2001", "3/5/2001", "02/29/2000", "02/29/2001", "02/30/2000", "13/01/2001", "00/10/2001", "04/31/1999",
+            "12/31/0001", "01/01/0000", "01/01/9999", "1/1/20010", "03-05-2001", "03052001", "02302001", "3052001", ""]
+    clocks = ["12:30:00 AM", "12:30:00 PM", "01:02:03 AM", "11:59:59 PM", "1:02:03 PM", "00:10:00 AM", "13:00:00 PM",
+              "02:60:00 AM", "02:30:61 AM", "02:30:00", "02:30:00 pm", "02:30:00 XM", "02:30:00 PM\n", "02:30:00  PM"]
+    text = [None, *days, *(f"{d} {c}" for d in days for c in clocks)]
+    df = spark.createDataFrame([(x,) for x in text], "t string")
+    for ampm in ("parse", "ignore"):
+        got = df.select("t", X.parse_local_ts("t", ampm).alias("a"), by_pattern(ampm).alias("b"))
+        assert got.filter("NOT (a <=> b)").collect() == [] and got.filter("a IS NOT NULL").count() > 20
+        assert "timestamp_ntz) ELSE timestampadd" in _plan(got.select("a"))
+    dates = df.select("t", X.parse_mdy("t").alias("a"), F.when(F.instr("t", "/") > 0, F.try_to_date("t", "M/d/yyyy"))
+                      .otherwise(F.try_to_date("t", "MMddyyyy")).alias("b"))
+    assert dates.filter("NOT (a <=> b)").collect() == [] and dates.filter("a IS NOT NULL").count() > 4
